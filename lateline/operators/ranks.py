@@ -147,15 +147,10 @@ def values_at(counts: DataFrame, wanted: Mapping[str, Sequence[int]],
 
     marked = counts.withColumn("b", _bracket_id(brackets, kind)).filter(F.col("b").isNotNull())
     order = Window.partitionBy("b").orderBy("value")
-    offset, covered = None, None
-    for index, b in enumerate(brackets):
-        here = F.col("b") == index
-        offset = F.when(here, F.lit(b.below)) if offset is None else offset.when(here, F.lit(b.below))
+    offset = F.element_at(F.array(*[F.lit(b.below) for b in brackets]), F.col("b") + 1)
+    sought = F.element_at(F.array(*[F.array(*[F.lit(r) for r in b.ranks]) for b in brackets]), F.col("b") + 1)
     running = marked.withColumn("end", F.sum("n").over(order) + offset).withColumn("start", F.col("end") - F.col("n"))
-    for index, b in enumerate(brackets):
-        for rank in b.ranks:
-            test = (F.col("b") == index) & (F.col("start") <= rank) & (F.col("end") > rank)
-            covered = test if covered is None else covered | test
+    covered = F.exists(sought, lambda rank: (F.col("start") <= rank) & (F.col("end") > rank))
     hits = (running.filter(covered)
             .select("name", encode(F.col("value"), kind).alias("value"), "start", "n").collect())
     found = {}
@@ -270,18 +265,29 @@ def _precedes(column: Column, value: Any, kind: T.DataType) -> Column:
     return F.coalesce(column < decode(value, kind), F.lit(False))
 
 
+def _ordering_key(values: Sequence[Column]) -> Column:
+    """Struct that compares like the listed values, nulls last."""
+    return F.struct(*[part for i, v in enumerate(values)
+                      for part in (v.isNull().alias(f"gap{i}"), v.alias(f"value{i}"))])
+
+
+def _tuple_precedes(own: Sequence[Column], other: Sequence[Column]) -> Column:
+    return _ordering_key(own) < _ordering_key(other)
+
+
 def left_of(cut: Cut, kinds: Mapping[str, T.DataType]) -> Column:
-    """Whether a row comes before the cut's prefix."""
+    """Whether a row comes before the cut's prefix.
+
+    Nearly every row is decided by the first column; only ties build the key.
+    """
     if cut.whole:
         return F.lit(True)
-    result = None
-    for name, value in reversed(cut.prefix):
-        before = _precedes(quoted(name), value, kinds[name])
-        if result is not None:
-            result = before | (quoted(name).eqNullSafe(decode(value, kinds[name])) & result)
-        else:
-            result = before
-    return result
+    (name, value), rest = cut.prefix[0], cut.prefix[1:]
+    before = _precedes(quoted(name), value, kinds[name])
+    if not rest:
+        return before
+    ties = _tuple_precedes([quoted(n) for n, _ in rest], [decode(v, kinds[n]) for n, v in rest])
+    return F.when(quoted(name).eqNullSafe(decode(value, kinds[name])), ties).otherwise(before)
 
 
 def label_by_cuts(df: DataFrame, cuts: Sequence[Cut], labels: Sequence[str], column: str) -> DataFrame:
@@ -326,12 +332,8 @@ def label_by_cuts(df: DataFrame, cuts: Sequence[Cut], labels: Sequence[str], col
 
 
 def _tuple_before(row: Mapping[str, Any], cut: Cut, kinds: Mapping[str, T.DataType]) -> Column:
-    result = None
-    for name, value in reversed(cut.prefix):
-        own = decode(row[name], kinds[name])
-        before = _precedes(own, value, kinds[name])
-        result = before if result is None else before | (own.eqNullSafe(decode(value, kinds[name])) & result)
-    return result
+    return _tuple_precedes([decode(row[n], kinds[n]) for n, _ in cut.prefix],
+                           [decode(v, kinds[n]) for n, v in cut.prefix])
 
 
 def with_running_totals(df: DataFrame, order: Sequence[Column], sums: Mapping[str, Column],
