@@ -86,4 +86,16 @@ def mean_of_known(columns: Sequence[Column]) -> Column:
 
 def quoted(name: str) -> Column:
     """Column whose name may hold dots or brackets."""
-    return F.col("`" + name.replace("`", "``") + "`")
+    return F.col(sql_name(name))
+
+
+def sql_name(name: str) -> str:
+    """Column name as written in SQL text."""
+    return "`" + name.replace("`", "``") + "`"
+
+
+def sql_text(text: str | None) -> str:
+    """String literal as written in SQL text."""
+    if text is None:
+        return "cast(null as string)"
+    return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"

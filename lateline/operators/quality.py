@@ -7,145 +7,109 @@ while a report is built.
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field
+from collections.abc import Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from lateline.functions.expressions import flag, quoted, round_half_even
+from lateline.functions.expressions import quoted, round_half_even, sql_name, sql_text
 from lateline.operators.ranks import value_counts
 from lateline.schema import (DATE_COLUMNS, DATE_RANGE, DOMAINS, ORDER_DATE, ORDER_ID, RANGES, REAL_DAYS,
                              REQUIRED, SCHEDULED_DAYS, SHIP_DATE, TARGET)
 
-REPORT_COLUMNS = ["check", "column", "severity", "rows", "percent", "message"]
-
-
 def is_timestamp(df: DataFrame, name: str) -> bool:
     return isinstance(df.schema[name].dataType, (T.TimestampType, T.TimestampNTZType))
 
 
-def finding(check: str, column: str | None, severity: Column, rows: Column,
-            percent: Column | None, message: Column) -> Column:
-    return F.struct(
-        F.lit(check).alias("check"), F.lit(column).cast("string").alias("column"),
-        severity.alias("severity"), rows.cast("long").alias("rows"),
-        (F.lit(None).cast("double") if percent is None else round_half_even(percent, 4)).alias("percent"),
-        message.alias("message"))
-
-
-def warn_if(condition: Column, level: str = "warning") -> Column:
-    return F.when(condition, level).otherwise("ok")
-
-
-def share(part: Column, whole: Column) -> Column:
-    return F.coalesce(F.try_divide(part.cast("double") * 100.0, whole.cast("double")), F.lit(0.0))
-
-
 @dataclass
-class Rules:
-    """Aggregates over the table and the findings computed from them."""
-
-    aggregates: dict[str, Column] = field(default_factory=dict)
-    findings: list[Column] = field(default_factory=list)
-
-    def count(self, name: str, condition: Column) -> Column:
-        self.aggregates[name] = F.count_if(condition)
-        return F.col(name)
-
-    @property
-    def total(self) -> Column:
-        self.aggregates["total"] = F.count(F.lit(1))
-        return F.col("total")
-
-    def report(self, df: DataFrame) -> DataFrame:
-        row = df.agg(*[a.alias(n) for n, a in self.aggregates.items()])
-        return row.select(F.explode(F.array(*self.findings)).alias("f")).select("f.*")
-
-
-def row_count_rules(rules: Rules, df: DataFrame) -> None:
-    total = rules.total
-    severity = F.when(total == 0, "error").when(total < 100, "warning").otherwise("ok")
-    rules.findings.append(finding("row_count", None, severity, total, None,
-                                  F.format_string("table has %,d rows", total)))
-
-
-def target_null_rules(rules: Rules, df: DataFrame) -> None:
+class Rule:
+    """Rows that meet ``condition`` break the rule; more than ``over`` percent of them is an issue."""
+
+    check: str
+    column: str | None
+    condition: str
+    text: str
+    level: str = "warning"
+    over: float = 0.0
+
+
+def _finding(total: Column) -> list[Column]:
+    """Report columns from a rule's row count."""
+    share = F.coalesce(F.try_divide(F.col("r.rows") * F.lit(100.0), total.cast("double")), F.lit(0.0))
+    return [F.col("r.check").alias("check"), F.col("r.column").alias("column"),
+            F.when((F.col("r.rows") > 0) & (share > F.col("r.over")), F.col("r.level")).otherwise("ok").alias("severity"),
+            F.col("r.rows").cast("long").alias("rows"), round_half_even(share, 4).alias("percent"),
+            F.concat(F.format_number("r.rows", 0), F.lit(" "), F.col("r.text")).alias("message")]
+
+
+def report_rules(df: DataFrame, rules: Sequence[Rule], with_row_count: bool = False) -> DataFrame:
+    """All rules in one aggregate, one row each."""
+    row = df.agg(F.count(F.lit(1)).alias("total"),
+                 *[F.expr(f"count_if({r.condition})").alias(f"n{i}") for i, r in enumerate(rules)])
+    made = [f"named_struct('check', {sql_text(r.check)}, 'column', {sql_text(r.column)}, 'rows', n{i}, 'text', "
+            f"{sql_text(r.text)}, 'level', {sql_text(r.level)}, 'over', {float(r.over)!r}D)"
+            for i, r in enumerate(rules)]
+    report = row.select("total", F.expr(f"explode(array({', '.join(made)}))").alias("r")).select(
+        *_finding(F.col("total"))) if rules else _no_findings(df)
+    if not with_row_count:
+        return report
+    total = F.count(F.lit(1))
+    counted = df.agg(total.alias("rows")).select(
+        F.lit("row_count").alias("check"), F.lit(None).cast("string").alias("column"),
+        F.when(F.col("rows") == 0, "error").when(F.col("rows") < 100, "warning").otherwise("ok").alias("severity"),
+        "rows", F.lit(100.0).alias("percent"), F.concat(F.format_number("rows", 0), F.lit(" rows")).alias("message"))
+    return counted.unionByName(report)
+
+
+def target_rules(df: DataFrame) -> list[Rule]:
     if TARGET not in df.columns:
-        rules.total
-        rules.findings.append(finding("target_missing", TARGET, F.lit("error"), F.lit(0), None,
-                                      F.lit("target column not found")))
-        return
-    nulls = rules.count("target_nulls", quoted(TARGET).isNull())
-    odd = rules.count("target_odd", quoted(TARGET).isNotNull() & ~quoted(TARGET).isin(0, 1))
-    rules.findings += [
-        finding("target_nulls", TARGET, warn_if(nulls > 0, "error"), nulls, share(nulls, rules.total),
-                F.format_string("target has %,d missing values", nulls)),
-        finding("target_values", TARGET, warn_if(odd > 0, "error"), odd, share(odd, rules.total),
-                F.format_string("target has %,d values other than 0 and 1", odd)),
-    ]
-
-
-def missing_rules(rules: Rules, df: DataFrame) -> None:
-    for index, name in enumerate(df.columns):
-        nulls = rules.count(f"nulls_{index}", quoted(name).isNull())
-        percent = share(nulls, rules.total)
-        alarming = (percent > 10) if name in REQUIRED else F.lit(False)
-        rules.findings.append(finding("missing_values", name, warn_if(alarming), nulls, percent,
-                                      F.format_string("%.1f%% missing values", percent)))
-
-
-def range_rules(rules: Rules, df: DataFrame) -> None:
-    for index, (name, (low, high)) in enumerate(RANGES.items()):
-        if name not in df.columns:
-            continue
-        tests = [("below_minimum", quoted(name) < low), ("above_maximum", quoted(name) > high)]
-        if low >= 0:
-            tests.append(("negative", quoted(name) < 0))
-        for check, test in tests:
-            rows = rules.count(f"{check}_{index}", F.coalesce(test, F.lit(False)))
-            rules.findings.append(finding(check, name, warn_if(rows > 0), rows, share(rows, rules.total),
-                                          F.format_string(f"%,d values outside [{low}, {high:g}]", rows)))
-
-
-def date_rules(rules: Rules, df: DataFrame) -> None:
-    for index, name in enumerate(c for c in DATE_COLUMNS if c in df.columns):
-        if not is_timestamp(df, name):
-            kind = df.schema[name].dataType.simpleString()
-            rules.total
-            rules.findings.append(finding("date_type", name, F.lit("warning"), F.lit(0), None,
-                                          F.lit(f"column is {kind}, not a timestamp")))
+        return [Rule("target_missing", TARGET, "true", "rows without a target column", "error")]
+    name = sql_name(TARGET)
+    return [Rule("target_nulls", TARGET, f"{name} is null", "missing values", "error"),
+            Rule("target_values", TARGET, f"{name} not in (0, 1)", "values other than 0 and 1", "error")]
+
+
+def missing_rules(df: DataFrame) -> list[Rule]:
+    return [Rule("missing_values", c, f"{sql_name(c)} is null", "missing values",
+                 "warning" if c in REQUIRED else "ok", 10.0) for c in df.columns]
+
+
+def range_rules(df: DataFrame) -> list[Rule]:
+    rules = []
+    for c, (low, high) in RANGES.items():
+        if c in df.columns:
+            rules += [Rule("below_minimum", c, f"{sql_name(c)} < {low}", f"values below {low}"),
+                      Rule("above_maximum", c, f"{sql_name(c)} > {high!r}", f"values above {high:g}")]
+            if low >= 0:
+                rules.append(Rule("negative", c, f"{sql_name(c)} < 0", "negative values"))
+    return rules
+
+
+def date_rules(df: DataFrame) -> list[Rule]:
+    rules = []
+    for c in (c for c in DATE_COLUMNS if c in df.columns):
+        if not is_timestamp(df, c):
+            kind = df.schema[c].dataType.simpleString()
+            rules.append(Rule("date_type", c, "true", f"rows of type {kind}, not timestamp"))
             continue
-        kind = df.schema[name].dataType
-        early = rules.count(f"early_{index}", quoted(name) < F.lit(DATE_RANGE[0]).cast(kind))
-        late = rules.count(f"late_{index}", quoted(name) > F.lit(DATE_RANGE[1]).cast(kind))
-        rules.findings += [
-            finding("date_too_early", name, warn_if(early > 0), early, share(early, rules.total),
-                    F.format_string(f"%,d dates before {DATE_RANGE[0]}", early)),
-            finding("date_too_late", name, warn_if(late > 0), late, share(late, rules.total),
-                    F.format_string(f"%,d dates after {DATE_RANGE[1]}", late)),
-        ]
-
-
-def consistency_rules(rules: Rules, df: DataFrame) -> None:
-    has = set(df.columns)
-    if {ORDER_DATE, SHIP_DATE} <= has and is_timestamp(df, ORDER_DATE) and is_timestamp(df, SHIP_DATE):
-        rows = rules.count("shipped_early", quoted(SHIP_DATE) < quoted(ORDER_DATE))
-        rules.findings.append(finding("shipped_before_ordered", SHIP_DATE, warn_if(rows > 0), rows,
-                                      share(rows, rules.total),
-                                      F.format_string("%,d rows shipped before they were ordered", rows)))
-    if {TARGET, REAL_DAYS, SCHEDULED_DAYS} <= has:
-        computed = flag(quoted(REAL_DAYS) > quoted(SCHEDULED_DAYS))
-        rows = rules.count("late_mismatch", ~computed.eqNullSafe(quoted(TARGET)))
-        percent = share(rows, rules.total)
-        rules.findings.append(finding("late_flag_mismatch", TARGET, warn_if(percent > 5), rows, percent,
-                                      F.format_string("%,d rows disagree with the shipping days", rows)))
+        kind = df.schema[c].dataType.simpleString()
+        rules += [Rule(f"date_too_{word}", c, f"{sql_name(c)} {sign} cast('{limit}' as {kind})", f"dates beyond {limit}")
+                  for word, sign, limit in (("early", "<", DATE_RANGE[0]), ("late", ">", DATE_RANGE[1]))]
+    return rules
 
 
-def _one_family(family, df: DataFrame) -> DataFrame:
-    rules = Rules()
-    family(rules, df)
-    return rules.report(df) if rules.findings else _no_findings(df)
+def consistency_rules(df: DataFrame) -> list[Rule]:
+    has, rules = set(df.columns), []
+    if {ORDER_DATE, SHIP_DATE} <= has and is_timestamp(df, ORDER_DATE) and is_timestamp(df, SHIP_DATE):
+        rules.append(Rule("shipped_before_ordered", SHIP_DATE, f"{sql_name(SHIP_DATE)} < {sql_name(ORDER_DATE)}",
+                          "rows shipped before they were ordered"))
+    if {TARGET, REAL_DAYS, SCHEDULED_DAYS} <= has:
+        late = f"cast(coalesce({sql_name(REAL_DAYS)} > {sql_name(SCHEDULED_DAYS)}, false) as int)"
+        rules.append(Rule("late_flag_mismatch", TARGET, f"not ({late} <=> {sql_name(TARGET)})",
+                          "rows disagree with the shipping days", over=5.0))
+    return rules
 
 
 def _no_findings(df: DataFrame) -> DataFrame:
@@ -154,48 +118,53 @@ def _no_findings(df: DataFrame) -> DataFrame:
 
 
 def row_count_check(df: DataFrame) -> DataFrame:
-    return _one_family(row_count_rules, df)
+    return report_rules(df, [], with_row_count=True)
 
 
 def target_check(df: DataFrame) -> DataFrame:
-    return _one_family(target_null_rules, df)
+    return report_rules(df, target_rules(df))
 
 
 def missing_check(df: DataFrame) -> DataFrame:
-    return _one_family(missing_rules, df)
+    return report_rules(df, missing_rules(df))
 
 
 def range_check(df: DataFrame) -> DataFrame:
-    return _one_family(range_rules, df)
+    return report_rules(df, range_rules(df))
 
 
 def date_check(df: DataFrame) -> DataFrame:
-    return _one_family(date_rules, df)
+    return report_rules(df, date_rules(df))
 
 
 def consistency_check(df: DataFrame) -> DataFrame:
-    return _one_family(consistency_rules, df)
+    return report_rules(df, consistency_rules(df))
 
 
 def required_columns_check(df: DataFrame) -> DataFrame:
     """One error naming the missing columns; decided from the schema alone."""
     missing = sorted(set(REQUIRED) - set(df.columns))
-    severity = F.lit("error" if missing else "ok")
-    row = finding("required_columns", None, severity, F.lit(len(missing)), None,
-                  F.lit("missing: " + ", ".join(missing) if missing else "all present"))
-    return df.sparkSession.range(1).select(row.alias("f")).select("f.*")
+    return df.sparkSession.range(1).select(
+        F.lit("required_columns").alias("check"), F.lit(None).cast("string").alias("column"),
+        F.lit("error" if missing else "ok").alias("severity"), F.lit(len(missing)).cast("long").alias("rows"),
+        F.lit(0.0).alias("percent"),
+        F.lit("missing: " + ", ".join(missing) if missing else "all present").alias("message"))
+
+
+def share(part: Column, whole: Column) -> Column:
+    return F.coalesce(F.try_divide(part.cast("double") * 100.0, whole.cast("double")), F.lit(0.0))
 
 
 def _balance_from_counts(counts: DataFrame) -> DataFrame:
     known = counts.filter((F.col("name") == TARGET) & F.col("value").isNotNull())
     row = known.agg(F.count(F.lit(1)).alias("classes"), F.min("n").alias("minority"), F.sum("n").alias("known"))
-    percent = share(F.col("minority"), F.col("known"))
-    severity = F.when(F.col("classes") != 2, "ok").when(percent < 10, "warning").when(
-        percent < 30, "warning").otherwise("ok")
-    wording = F.when(F.col("classes") != 2, "not two classes").when(percent < 10, "severe imbalance").when(
+    percent, two = share(F.col("minority"), F.col("known")), F.col("classes") == 2
+    wording = F.when(~two, "not two classes").when(percent < 10, "severe imbalance").when(
         percent < 30, "moderate imbalance").otherwise("balanced enough")
-    return row.select(finding("class_balance", TARGET, severity, F.col("minority"), percent, wording)
-                      .alias("f")).select("f.*")
+    return row.select(
+        F.lit("class_balance").alias("check"), F.lit(TARGET).alias("column"),
+        F.when(two & (percent < 30), "warning").otherwise("ok").alias("severity"), F.col("minority").alias("rows"),
+        round_half_even(percent, 4).alias("percent"), wording.alias("message"))
 
 
 def balance_check(df: DataFrame) -> DataFrame:
@@ -219,22 +188,25 @@ def domain_check(df: DataFrame) -> DataFrame:
     return _domain_from_counts(value_counts(df, present)) if present else _no_findings(df)
 
 
-def duplicate_check(df: DataFrame) -> DataFrame:
-    """Rows beyond the first of each identical group; order-id repeats are informational."""
-    groups = df.groupBy(*[quoted(c) for c in df.columns]).agg(F.count(F.lit(1)).alias("_n"))
-    row = groups.agg(F.coalesce(F.sum(F.col("_n") - 1), F.lit(0)).alias("repeats"),
+def _repeats(df: DataFrame, check: str, column: str | None, keys: Sequence[str], over: float, text: str,
+             level: str) -> DataFrame:
+    groups = df.groupBy(*[quoted(c) for c in keys]).agg(F.count(F.lit(1)).alias("_n"))
+    row = groups.agg(F.coalesce(F.sum(F.col("_n") - 1), F.lit(0)).alias("rows"),
                      F.coalesce(F.sum("_n"), F.lit(0)).alias("total"))
-    percent = share(F.col("repeats"), F.col("total"))
-    report = row.select(finding("duplicate_rows", None, warn_if(percent > 5), F.col("repeats"), percent,
-                                F.format_string("%,d duplicate rows", F.col("repeats"))).alias("f")).select("f.*")
+    rule = F.struct(F.lit(check).alias("check"), F.lit(column).cast("string").alias("column"), F.col("rows"),
+                    F.lit(text).alias("text"), F.lit(level).alias("level"), F.lit(over).alias("over"))
+    return row.select("total", rule.alias("r")).select(*_finding(F.col("total")))
+
+
+def duplicate_check(df: DataFrame) -> DataFrame:
+    """Rows beyond the first of each identical group; order-id repeats are informational.
+
+    Grouping by every column lets copies merge before the shuffle.
+    """
+    report = _repeats(df, "duplicate_rows", None, df.columns, 5.0, "duplicate rows", "warning")
     if ORDER_ID in df.columns:
-        orders = df.groupBy(quoted(ORDER_ID).alias("o")).agg(F.count(F.lit(1)).alias("_n"))
-        row = orders.agg(F.coalesce(F.sum(F.col("_n") - 1), F.lit(0)).alias("repeats"),
-                         F.coalesce(F.sum("_n"), F.lit(0)).alias("total"))
-        report = report.unionByName(row.select(
-            finding("repeated_order_id", ORDER_ID, F.lit("ok"), F.col("repeats"),
-                    share(F.col("repeats"), F.col("total")),
-                    F.lit("expected for orders of several items")).alias("f")).select("f.*"))
+        report = report.unionByName(_repeats(df, "repeated_order_id", ORDER_ID, [ORDER_ID], 0.0,
+                                             "repeated order ids, expected for orders of several items", "ok"))
     return report
 
 
@@ -301,10 +273,10 @@ class ValidationResult:
 
 def validate(df: DataFrame) -> ValidationResult:
     """Run every rule: one aggregate, one grouped count of categories, two duplicate counts."""
-    rules = Rules()
-    for family in (row_count_rules, target_null_rules, missing_rules, range_rules, date_rules, consistency_rules):
-        family(rules, df)
-    report = rules.report(df).unionByName(required_columns_check(df)).unionByName(duplicate_check(df))
+    rules = [rule for family in (target_rules, missing_rules, range_rules, date_rules, consistency_rules)
+             for rule in family(df)]
+    report = (report_rules(df, rules, with_row_count=True).unionByName(required_columns_check(df))
+              .unionByName(duplicate_check(df)))
     grouped = {c: quoted(c).cast("string") for c in [*DOMAINS, TARGET] if c in df.columns}
     if grouped:
         counts = value_counts(df, grouped)
