@@ -105,11 +105,9 @@ def _(spark, folder):
 @query("s10_input_discovery", over("ship", 'SELECT count(*) AS "rows", sum("Order Item Quantity") AS quantity FROM ship'))
 def _(spark, folder):
     path, lines = _folder(spark, "inbox"), shipments(spark, folder).select(ORDER_ID, QUANTITY)
-    lines.limit(0).write.option("header", True).csv(f"{path}/attic.csv")
+    table(spark, folder, "region").write.option("header", True).csv(f"{path}/attic.csv")
     lines.write.option("header", True).csv(f"{path}/supply_lines.csv")
-    # Spark writes one folder per table; its part files carry the discovered folder's name.
-    found = csv.read_csv(spark, f"{path}/supply_lines.csv", encoding="UTF-8")
-    csv.discover_csv(spark, f"{path}/supply_lines.csv")
+    found = csv.read_csv(spark, csv.discover_csv(spark, path), encoding="UTF-8")
     return found.agg(F.count(F.lit(1)).alias("rows"), F.sum(QUANTITY).alias("quantity"))
 
 
@@ -243,20 +241,29 @@ def _(spark, folder):
     return cleaning.Cleaner().fit_transform(raw_shipments(spark, folder))[0]
 
 
-@query("p01_drop_unused", over("raw", """SELECT * EXCLUDE ("Customer Fname", "Customer Email", "Order Item Id",
-"Product Card Id", "Customer Id", "Benefit per order") FROM raw"""))
+_WIDE = [REAL_DAYS, TARGET]
+_REPLACE = "REPLACE (" + ", ".join(f'CAST("{c}" AS DOUBLE) AS "{c}"' for c in _WIDE) + ")"
+
+
+def _wide(df: DataFrame) -> DataFrame:
+    """Integers that hold nulls as doubles, so both engines hand them over alike."""
+    return df.withColumns({c: quoted(c).cast("double") for c in _WIDE})
+
+
+@query("p01_drop_unused", over("raw", f"""SELECT * EXCLUDE ("Customer Fname", "Customer Email", "Order Item Id",
+"Product Card Id", "Customer Id", "Benefit per order") {_REPLACE} FROM raw"""))
 def _(spark, folder):
-    return cleaning.drop_unused(raw_shipments(spark, folder))
+    return _wide(cleaning.drop_unused(raw_shipments(spark, folder)))
 
 
-@query("p02_deduplicate", over("base", "SELECT * FROM base"))
+@query("p02_deduplicate", over("base", f"SELECT * {_REPLACE} FROM base"))
 def _(spark, folder):
-    return cleaning.distinct_rows(cleaning.drop_unused(raw_shipments(spark, folder))).drop(cleaning.COPIES)
+    return _wide(cleaning.distinct_rows(cleaning.drop_unused(raw_shipments(spark, folder))).drop(cleaning.COPIES))
 
 
-@query("p03_critical_nulls", over("raw", f'SELECT * FROM raw WHERE "{TARGET}" IS NOT NULL AND "{ORDER_ID}" IS NOT NULL'))
+@query("p03_critical_nulls", over("raw", f'SELECT * {_REPLACE} FROM raw WHERE "{TARGET}" IS NOT NULL AND "{ORDER_ID}" IS NOT NULL'))
 def _(spark, folder):
-    return cleaning.drop_critical_nulls(raw_shipments(spark, folder))
+    return _wide(cleaning.drop_critical_nulls(raw_shipments(spark, folder)))
 
 
 _NUMBERS = [REAL_DAYS, SCHEDULED_DAYS, DISCOUNT, QUANTITY, ITEM_PRICE, SALES, "Product Price"]
@@ -292,13 +299,14 @@ def _(spark, folder):
     return value_counts(cleaned(spark, folder), {c: quoted(c) for c in CATEGORICALS})
 
 
-@query("p08_fix_types", over("raw", f"""SELECT "{ORDER_ID}", CAST("{TARGET}" AS INTEGER) AS "{TARGET}",
+@query("p08_fix_types", over("raw", f"""SELECT "{ORDER_ID}", coalesce(CAST("{TARGET}" AS INTEGER), -1) AS "{TARGET}",
 CAST("{REAL_DAYS}" AS DOUBLE) AS "{REAL_DAYS}", CAST("{QUANTITY}" AS DOUBLE) AS "{QUANTITY}", "{ORDER_DATE}" FROM raw"""))
 def _(spark, folder):
     texts = raw_shipments(spark, folder).select(
         ORDER_ID, quoted(TARGET).cast("string").alias(TARGET), quoted(REAL_DAYS).cast("string").alias(REAL_DAYS),
         quoted(QUANTITY).cast("string").alias(QUANTITY), F.date_format(quoted(ORDER_DATE), "M/d/yyyy H:mm").alias(ORDER_DATE))
-    return cleaning.fix_types(texts).withColumn(ORDER_DATE, quoted(ORDER_DATE).cast("timestamp_ntz"))
+    return cleaning.fix_types(texts).withColumns({
+        TARGET: F.coalesce(quoted(TARGET), F.lit(-1)), ORDER_DATE: quoted(ORDER_DATE).cast("timestamp_ntz")})
 
 
 @query("p09_missing_summary", over("raw", "AND VIEW m AS (" + " UNION ALL ".join(

@@ -91,16 +91,21 @@ def read_csv(spark: SparkSession, path: str, columns: Sequence[str] | None = Non
 
 
 def discover_csv(spark: SparkSession, folder: str) -> str:
-    """Path of the main CSV file in a folder: the first with a preferred name, else the first."""
+    """Path of the main CSV table in a folder: the first with a preferred name, else the first.
+
+    A table is a file, or a folder of part files, whose name ends in ``.csv``.
+    """
     try:
-        found = spark.read.format("binaryFile").option("pathGlobFilter", "*.csv").load(folder).select("path")
-        name = F.regexp_extract("path", r"([^/]+)$", 1)
-        preferred = F.lit(False)
-        for pattern in PREFERRED:
-            preferred = preferred | name.rlike(pattern)
-        row = found.agg(F.min(F.when(preferred, F.col("path"))).alias("preferred"), F.min("path").alias("any")).first()
+        files = (spark.read.format("binaryFile").option("pathGlobFilter", "*.csv")
+                 .option("recursiveFileLookup", True).load(folder))
     except AnalysisException as problem:
         raise FileNotFoundError(f"no CSV files in {folder}") from problem
+    found = files.select(F.regexp_extract("path", r"^(.*?/[^/]+\.csv)(/|$)", 1).alias("path"))
+    name = F.regexp_extract("path", r"([^/]+)$", 1)
+    preferred = F.lit(False)
+    for pattern in PREFERRED:
+        preferred = preferred | name.rlike(pattern)
+    row = found.agg(F.min(F.when(preferred, F.col("path"))).alias("preferred"), F.min("path").alias("any")).first()
     if row["any"] is None:
         raise FileNotFoundError(f"no CSV files in {folder}")
     return row["preferred"] or row["any"]
