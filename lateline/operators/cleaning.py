@@ -16,10 +16,11 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from lateline.functions.expressions import clip, quoted, round_half_even, strip, text_or_nan, title
-from lateline.operators.ranks import (count_totals, exact_percentiles, percentiles_from_counts, value_counts)
+from lateline.operators.ranks import (Totals, count_totals, exact_percentiles, number, percentile_ranks,
+                                      value_counts, values_at)
 from lateline.schema import (CATEGORICALS, CATEGORY_FILL, CRITICAL, DATE_COLUMNS, NUMERIC_FILL, NUMERICALS,
                              TARGET, UNUSED, WINSOR)
-from lateline.session import kept, stage
+from lateline.session import kept, stage, together
 
 COPIES = "_copies"
 DATE_FORMAT = "M/d/yyyy H:mm"
@@ -178,10 +179,12 @@ class Cleaner:
         state = CleaningState()
         self._count_rows(base, state)
         rows = drop_critical_nulls(base)
+        tasks = []
         if self.options.handle_missing or self.options.handle_outliers:
-            self._learn_numbers(rows, state)
+            tasks.append(self._learn_numbers)
         if self.options.handle_missing or self.options.standardize_categories:
-            self._learn_categories(rows, state)
+            tasks.append(self._learn_categories)
+        together(*[lambda learn=learn: learn(rows, state) for learn in tasks])
         return CleanerModel(state, self.options)
 
     def _count_rows(self, base: DataFrame, state: CleaningState) -> None:
@@ -197,54 +200,82 @@ class Cleaner:
         state.critical = {c: row[f"null_{i}"] for i, c in enumerate(present) if row[f"null_{i}"]}
 
     def _learn_numbers(self, rows: DataFrame, state: CleaningState) -> None:
-        wanted = [c for c in {**self.options.numeric_fill, **self.options.winsor} if c in rows.columns]
+        o = self.options
+        wanted = [c for c in {**o.numeric_fill, **o.winsor} if c in rows.columns]
         if not wanted:
             return
-        with kept(value_counts(rows, {c: quoted(c).cast("double") for c in wanted})) as counts:
+        with kept(value_counts(rows, {c: number(quoted(c)) for c in wanted})) as counts:
             totals = count_totals(counts)
-            if self.options.handle_missing:
-                self._numeric_fills(counts, totals, state)
-            if self.options.handle_outliers:
-                self._winsor_bounds(counts, totals, state)
-
-    def _numeric_fills(self, counts: DataFrame, totals: dict, state: CleaningState) -> None:
-        rules = {c: rule for c, rule in self.options.numeric_fill.items() if totals.get(c, (0, 0, 0))[2]}
-        medians = percentiles_from_counts(
-            counts, {c: [0.5] for c, rule in rules.items() if rule not in ("mean", "zero", "mode")}, totals)
+            gaps = {c: rule for c, rule in o.numeric_fill.items()
+                    if o.handle_missing and totals.get(c, Totals()).nulls and totals[c].rows}
+            bounded = [c for c in o.winsor if o.handle_outliers and totals.get(c, Totals()).rows]
+            found = self._find_values(counts, totals, gaps, bounded)
+            self._numeric_fills(counts, totals, gaps, found, state)
+            self._winsor_bounds(counts, totals, bounded, found, state)
+
+    def _find_values(self, counts: DataFrame, totals: dict[str, Totals], gaps: dict[str, str],
+                     bounded: list[str]) -> dict:
+        """Every value the fills and bounds may need, in one search.
+
+        Filling k nulls with m moves the values above m by k ranks and leaves the
+        rest in place, so rank r of the filled column is rank r or r - k of the
+        column as it is, or m itself.
+        """
+        ranks: dict[str, list[int]] = {}
+        for c, rule in gaps.items():
+            if rule not in ("mean", "zero", "mode"):
+                ranks.setdefault(c, []).extend(r for low, high, _ in percentile_ranks(totals[c].rows, [0.5])
+                                               for r in (low, high))
+        for c in bounded:
+            shift = totals[c].nulls if c in gaps else 0
+            for low, high, _ in percentile_ranks(totals[c].rows + shift, self.options.winsor[c]):
+                ranks.setdefault(c, []).extend(r for at in (low, high) for r in (at, at - shift)
+                                               if 0 <= r < totals[c].rows)
+        return values_at(counts, ranks, totals)
+
+    def _numeric_fills(self, counts: DataFrame, totals: dict[str, Totals], gaps: dict[str, str], found: dict,
+                       state: CleaningState) -> None:
         means, modes = {}, {}
-        if any(rule in ("mean", "mode") for rule in rules.values()):
+        if any(rule in ("mean", "mode") for rule in gaps.values()):
             for row in (counts.filter(F.col("value").isNotNull()).groupBy("name").agg(
                     F.try_divide(F.sum(F.col("value") * F.col("n")), F.sum("n")).alias("mean"),
                     F.min(F.struct(-F.col("n"), F.col("value"))).alias("mode")).collect()):
                 means[row["name"]], modes[row["name"]] = row["mean"], row["mode"]["value"]
-        for c, rule in rules.items():
-            value = {"zero": 0.0, "mean": means.get(c), "mode": modes.get(c, 0.0)}.get(
-                rule, medians.get(c, [None])[0])
-            if value is not None:
-                state.fills[c] = value
-                state.imputed[c] = totals[c][2]
-
-    def _winsor_bounds(self, counts: DataFrame, totals: dict, state: CleaningState) -> None:
-        columns = [c for c in self.options.winsor if c in totals]
-        filled = counts.filter(F.col("name").isin(columns))
-        fills = {c: state.fills[c] for c in columns if c in state.fills}
-        if fills:
-            gap = None
-            for c, value in fills.items():
-                gap = F.when(F.col("name") == c, value) if gap is None else gap.when(F.col("name") == c, value)
-            filled = (filled.withColumn("value", F.coalesce("value", gap))
-                      .groupBy("name", "value").agg(F.sum("n").alias("n")))
-            totals = {c: (known + nulls, distinct + 1, 0) if c in fills else (known, distinct, nulls)
-                      for c, (known, distinct, nulls) in totals.items()}
-        with kept(filled) as filled:
-            bounds = percentiles_from_counts(filled, {c: self.options.winsor[c] for c in columns}, totals)
-            outside = F.lit(0)
-            for c, (low, high) in bounds.items():
-                if low is not None:
-                    beyond = (F.col("value") < low) | (F.col("value") > high)
-                    outside = F.when(F.col("name") == c, F.when(beyond, F.col("n")).otherwise(0)).otherwise(outside)
-            capped = filled.groupBy("name").agg(F.sum(outside).alias("rows")).collect()
-        for row in capped:
+        for c, rule in gaps.items():
+            if rule in ("mean", "zero", "mode"):
+                value = {"zero": 0.0, "mean": means.get(c), "mode": modes.get(c)}[rule]
+            else:
+                low, high, part = percentile_ranks(totals[c].rows, [0.5])[0]
+                bottom, top = found[(c, low)].value, found[(c, high)].value
+                value = bottom + (top - bottom) * part
+            state.fills[c] = value
+            state.imputed[c] = totals[c].nulls
+
+    def _winsor_bounds(self, counts: DataFrame, totals: dict[str, Totals], bounded: list[str], found: dict,
+                       state: CleaningState) -> None:
+        def filled_value(c: str, rank: int) -> float:
+            if c not in state.fills:
+                return found[(c, rank)].value
+            here, moved = found.get((c, rank)), found.get((c, rank - totals[c].nulls))
+            if here is not None and here.value <= state.fills[c]:
+                return here.value
+            if moved is None or moved.value <= state.fills[c]:
+                return state.fills[c]
+            return moved.value
+
+        outside, bounds = F.lit(0), {}
+        for c in bounded:
+            shift = totals[c].nulls if c in state.fills else 0
+            bounds[c] = []
+            for low, high, part in percentile_ranks(totals[c].rows + shift, self.options.winsor[c]):
+                bottom, top = filled_value(c, low), filled_value(c, high)
+                bounds[c].append(bottom + (top - bottom) * part)
+            value = F.coalesce("value", F.lit(state.fills[c])) if c in state.fills else F.col("value")
+            beyond = (value < bounds[c][0]) | (value > bounds[c][1])
+            outside = F.when(F.col("name") == c, F.when(beyond, F.col("n")).otherwise(0)).otherwise(outside)
+        if not bounds:
+            return
+        for row in counts.groupBy("name").agg(F.sum(outside).alias("rows")).collect():
             if row["rows"]:
                 state.capped[row["name"]] = row["rows"]
                 state.bounds[row["name"]] = tuple(bounds[row["name"]])
@@ -256,13 +287,13 @@ class Cleaner:
         with kept(value_counts(rows, {c: quoted(c).cast("string") for c in wanted})) as counts:
             totals = count_totals(counts)
             if self.options.handle_missing:
-                gaps = {c: rule for c, rule in self.options.category_fill.items() if totals.get(c, (0, 0, 0))[2]}
+                gaps = {c: rule for c, rule in self.options.category_fill.items() if totals.get(c, Totals()).nulls}
                 modes = {r["name"]: r["mode"]["value"] for r in (
                     counts.filter(F.col("value").isNotNull()).groupBy("name")
                     .agg(F.min(F.struct(-F.col("n"), F.col("value"))).alias("mode")).collect())} if gaps else {}
                 for c, rule in gaps.items():
                     state.fills[c] = modes.get(c, "Unknown") if rule == "mode" else rule
-                    state.imputed[c] = totals[c][2]
+                    state.imputed[c] = totals[c].nulls
             if self.options.standardize_categories:
                 value = F.col("value")
                 for c in (c for c in CATEGORICALS if c in state.fills):

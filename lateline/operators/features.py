@@ -16,7 +16,7 @@ from lateline.schema import (CATEGORY, DATE_COLUMNS, DISCOUNT, EXPEDITED, ITEM_P
                              MODE_RISK, NON_FEATURES, ORDER_DATE, ORDER_ID, QUANTITY, REAL_DAYS, REGION,
                              SALES, SCHEDULED_DAYS, SEGMENT, SEGMENT_FREQUENCY, SHIP_DATE, SHIPPING_MODE,
                              TARGET, WEEKDAY_RISK)
-from lateline.session import stage
+from lateline.session import stage, together
 
 ONE_HOT = [SHIPPING_MODE, SEGMENT]
 LABELLED = [MARKET, REGION, CATEGORY]
@@ -261,11 +261,6 @@ class FeatureBuilder:
             numbers["median_value"] = (item_value(), [0.5])
         if {SALES, QUANTITY} <= has:
             numbers["unit_value_q99"] = (value_per_unit(), [0.99])
-        if numbers:
-            learned = exact_percentiles(df, numbers, approx)
-            state.median_value = learned.get("median_value", [None])[0]
-            state.unit_value_q99 = learned.get("unit_value_q99", [None])[0]
-
         grouped: dict[str, Column] = {}
         if o.create_geographic and REGION in has:
             grouped["region_rows"] = quoted(REGION)
@@ -273,9 +268,14 @@ class FeatureBuilder:
             grouped.update({c: text_or_nan(quoted(c)) for c in [*ONE_HOT, *LABELLED] if c in has})
             if o.create_product and DISCOUNT in has:
                 grouped[BAND] = text_or_nan(discount_band())
+        tasks = [lambda: exact_percentiles(df, numbers, approx)] if numbers else []
+        done = together(*tasks, *([lambda: self._categories(df, grouped)] if grouped else []))
+        if numbers:
+            state.median_value = done[0].get("median_value", [None])[0]
+            state.unit_value_q99 = done[0].get("unit_value_q99", [None])[0]
         if not grouped:
             return FeatureModel(state, o)
-        categories = self._categories(df, grouped)
+        categories = done[-1]
         for row in categories.groupBy("name").agg(F.count(F.lit(1)).alias("size"), F.sum("n").alias("rows")).collect():
             state.sizes[row["name"]] = row["size"]
             state.rows = row["rows"]
@@ -293,7 +293,8 @@ class FeatureBuilder:
         long = (df.select(first.alias("first"), *[column.alias(name) for name, column in grouped.items()])
                 .unpivot(["first"], [quoted(name) for name in grouped], "name", "value"))
         counts = long.groupBy("name", "value").agg(F.count(F.lit(1)).alias("n"), F.min("first").alias("first"))
-        coded = with_running_totals(counts, [F.col("first"), F.col("value")], {"code": F.lit(1)}, by=["name"])
+        counts = stage(counts, "counts")
+        coded = with_running_totals(counts, [F.col("first"), F.col("value")], {"code": F.lit(1)}, by=["name"], staged=True)
         return stage(coded.select("name", "value", "n", (F.col("code") - 1).alias("code")), "categories")
 
     @staticmethod

@@ -2,13 +2,15 @@
 
 Values are first reduced to (name, value, n) counts, which combine on the map
 side, so a value that fills a third of the table costs one row per map task.
-Ranks are then found on the counts: while a bracket of values is too large for
-one window, splitters from a hash-ordered sample cut it into slots, one pass
-counts the slots, and only the slot that holds the rank is searched further.
+Ranks are then found on the counts: a large bracket of values is cut into slots,
+one pass counts the slots, and only the slot that holds the rank is searched
+further. Numbers are cut into slots of equal width, other values (and numbers
+that equal width does not separate) at splitters from a hash-ordered sample.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 from typing import Any
@@ -24,6 +26,7 @@ from lateline.session import kept, stage
 WINDOW_ROWS = 1_000_000
 _SAMPLE = 1024
 _SLOTS = 64
+_EQUAL_SLOTS = 1024
 
 
 def encode(column: Column, kind: T.DataType) -> Column:
@@ -45,7 +48,7 @@ def decode(value: Any, kind: T.DataType) -> Column:
 
 @dataclass
 class Bracket:
-    """Values of one name in (low, high], with the ranks to be found there."""
+    """Values of one name from low to high (both included), with the ranks to be found there."""
 
     name: str
     ranks: list[int]
@@ -53,6 +56,7 @@ class Bracket:
     distinct: int
     low: Any = None
     high: Any = None
+    stuck: bool = False
 
 
 @dataclass
@@ -64,6 +68,12 @@ class Hit:
     rows: int
 
 
+def number(column: Column) -> Column:
+    """As double, with NaN read as missing."""
+    value = column.cast("double")
+    return F.when(~F.isnan(value), value)
+
+
 def value_counts(df: DataFrame, columns: Mapping[str, Column]) -> DataFrame:
     """Rows per (name, value) over columns of one common type; nulls are counted."""
     wide = df.select(*[column.alias(name) for name, column in columns.items()])
@@ -75,15 +85,27 @@ def value_counts(df: DataFrame, columns: Mapping[str, Column]) -> DataFrame:
             .groupBy("name", "value").agg(F.count(F.lit(1)).alias("n")))
 
 
-def count_totals(counts: DataFrame) -> dict[str, tuple[int, int, int]]:
-    """Per name: known rows, distinct known values, null rows."""
+@dataclass
+class Totals:
+    """Known rows, distinct known values and null rows of one name, and the span of its numbers."""
+
+    rows: int = 0
+    distinct: int = 0
+    nulls: int = 0
+    low: Any = None
+    high: Any = None
+
+
+def count_totals(counts: DataFrame) -> dict[str, Totals]:
     known = F.col("value").isNotNull()
+    span = F.col("value") if isinstance(counts.schema["value"].dataType, T.DoubleType) else F.lit(None)
     rows = counts.groupBy("name").agg(
         F.coalesce(F.sum(F.when(known, F.col("n"))), F.lit(0)).alias("rows"),
         F.count(F.when(known, 1)).alias("distinct"),
         F.coalesce(F.sum(F.when(~known, F.col("n"))), F.lit(0)).alias("nulls"),
+        F.min(span).alias("low"), F.max(span).alias("high"),
     ).collect()
-    return {r["name"]: (r["rows"], r["distinct"], r["nulls"]) for r in rows}
+    return {r["name"]: Totals(r["rows"], r["distinct"], r["nulls"], r["low"], r["high"]) for r in rows}
 
 
 def _bracket_id(brackets: Sequence[Bracket], kind: T.DataType) -> Column:
@@ -91,53 +113,72 @@ def _bracket_id(brackets: Sequence[Bracket], kind: T.DataType) -> Column:
     for index, b in enumerate(brackets):
         inside = (F.col("name") == b.name) & F.col("value").isNotNull()
         if b.low is not None:
-            inside = inside & (F.col("value") > decode(b.low, kind))
+            inside = inside & (F.col("value") >= decode(b.low, kind))
         if b.high is not None:
             inside = inside & (F.col("value") <= decode(b.high, kind))
         chain = F.when(inside, index) if chain is None else chain.when(inside, index)
     return chain
 
 
-def _narrow(counts: DataFrame, brackets: list[Bracket], kind: T.DataType) -> list[Bracket]:
-    marked = counts.withColumn("b", _bracket_id(brackets, kind)).filter(F.col("b").isNotNull())
+def _sampled_slots(marked: DataFrame, kind: T.DataType) -> Column:
+    """Slots between splitters, which are every 16th of 1024 values in hash order."""
     by_hash = Window.partitionBy("b").orderBy(F.xxhash64("value"), "value")
     sample = (marked.withColumn("k", F.row_number().over(by_hash)).filter(F.col("k") <= _SAMPLE)
               .groupBy("b").agg(F.array_sort(F.collect_list("value")).alias("values"))
               .select("b", F.transform("values", lambda v: encode(v, kind)).alias("values")).collect())
-    splitters = {}
+    slot = None
     for row in sample:
         step = max(1, len(row["values"]) // _SLOTS)
-        splitters[row["b"]] = sorted(set(row["values"][step - 1::step]))
+        edges = F.array(*[decode(v, kind) for v in row["values"][step - 1::step]])
+        position = F.size(F.filter(edges, lambda edge: edge < F.col("value"))).cast("long")
+        slot = F.when(F.col("b") == row["b"], position) if slot is None else slot.when(F.col("b") == row["b"], position)
+    return slot
 
-    slot = None
-    for b, values in splitters.items():
-        edges = F.array(*[decode(v, kind) for v in values])
-        position = F.size(F.filter(edges, lambda edge: edge < F.col("value")))
-        slot = F.when(F.col("b") == b, position) if slot is None else slot.when(F.col("b") == b, position)
+
+def _equal_slots(brackets: Sequence[Bracket]) -> Column:
+    def of_bracket(values: list[float]) -> Column:
+        return F.element_at(F.array(*[F.lit(float(v)) for v in values]), F.col("b") + 1)
+
+    width = of_bracket([(b.high - b.low) / _EQUAL_SLOTS for b in brackets])
+    place = F.floor((F.col("value") - of_bracket([b.low for b in brackets])) / width)
+    return F.least(place, F.lit(_EQUAL_SLOTS - 1).cast("long"))
+
+
+def _spans_evenly(b: Bracket) -> bool:
+    if not isinstance(b.low, float) or not isinstance(b.high, float):
+        return False
+    width = (b.high - b.low) / _EQUAL_SLOTS
+    return math.isfinite(width) and width > 0.0 and not b.stuck
+
+
+def _narrow(counts: DataFrame, brackets: list[Bracket], kind: T.DataType) -> list[Bracket]:
+    marked = counts.withColumn("b", _bracket_id(brackets, kind)).filter(F.col("b").isNotNull())
+    equal = all(_spans_evenly(b) for b in brackets)
+    slot = _equal_slots(brackets) if equal else _sampled_slots(marked, kind)
+    # At most brackets x slots rows.
     slots = (marked.withColumn("slot", slot).groupBy("b", "slot")
-             .agg(F.sum("n").alias("rows"), F.count(F.lit(1)).alias("distinct"))
+             .agg(F.sum("n").alias("rows"), F.count(F.lit(1)).alias("distinct"),
+                  encode(F.min("value"), kind).alias("low"), encode(F.max("value"), kind).alias("high"))
              .orderBy("b", "slot").collect())
-
     narrowed = []
     for index, bracket in enumerate(brackets):
-        below, edges = bracket.below, splitters[index]
+        below = bracket.below
         for row in (s for s in slots if s["b"] == index):
             inside = [r for r in bracket.ranks if below <= r < below + row["rows"]]
             if inside:
-                low = edges[row["slot"] - 1] if row["slot"] > 0 else bracket.low
-                high = edges[row["slot"]] if row["slot"] < len(edges) else bracket.high
-                narrowed.append(Bracket(bracket.name, inside, below, row["distinct"], low, high))
+                narrowed.append(Bracket(bracket.name, inside, below, row["distinct"], row["low"], row["high"],
+                                        stuck=row["distinct"] * 2 > bracket.distinct))
             below += row["rows"]
     return narrowed
 
 
 def values_at(counts: DataFrame, wanted: Mapping[str, Sequence[int]],
-              totals: Mapping[str, tuple[int, int, int]],
+              totals: Mapping[str, Totals],
               window_rows: int | None = None) -> dict[tuple[str, int], Hit]:
     """The value at each wanted rank (0-based, ascending, nulls left out)."""
     window_rows = window_rows or WINDOW_ROWS
     kind = counts.schema["value"].dataType
-    brackets = [Bracket(name, sorted(set(ranks)), 0, totals[name][1])
+    brackets = [Bracket(name, sorted(set(ranks)), 0, totals[name].distinct, totals[name].low, totals[name].high)
                 for name, ranks in wanted.items() if ranks]
     while any(b.distinct > window_rows for b in brackets):
         large = [b for b in brackets if b.distinct > window_rows]
@@ -146,7 +187,7 @@ def values_at(counts: DataFrame, wanted: Mapping[str, Sequence[int]],
         return {}
 
     marked = counts.withColumn("b", _bracket_id(brackets, kind)).filter(F.col("b").isNotNull())
-    order = Window.partitionBy("b").orderBy("value")
+    order = Window.partitionBy("b").orderBy("value").rowsBetween(Window.unboundedPreceding, 0)
     offset = F.element_at(F.array(*[F.lit(b.below) for b in brackets]), F.col("b") + 1)
     sought = F.element_at(F.array(*[F.array(*[F.lit(r) for r in b.ranks]) for b in brackets]), F.col("b") + 1)
     running = marked.withColumn("end", F.sum("n").over(order) + offset).withColumn("start", F.col("end") - F.col("n"))
@@ -163,19 +204,19 @@ def values_at(counts: DataFrame, wanted: Mapping[str, Sequence[int]],
 
 
 def percentiles_from_counts(counts: DataFrame, wanted: Mapping[str, Sequence[float]],
-                            totals: Mapping[str, tuple[int, int, int]] | None = None) -> dict[str, list[float | None]]:
+                            totals: Mapping[str, Totals] | None = None) -> dict[str, list[float | None]]:
     """Linearly interpolated percentiles of (name, value, n) counts."""
     totals = totals if totals is not None else count_totals(counts)
     ranks = {}
     for name, fractions in wanted.items():
-        rows = totals.get(name, (0, 0, 0))[0]
+        rows = totals.get(name, Totals()).rows
         if rows:
             spots = [p * (rows - 1) for p in fractions]
             ranks[name] = [r for s in spots for r in (int(s), min(int(s) + 1, rows - 1))]
     found = values_at(counts, ranks, totals)
     result: dict[str, list[float | None]] = {}
     for name, fractions in wanted.items():
-        rows = totals.get(name, (0, 0, 0))[0]
+        rows = totals.get(name, Totals()).rows
         if not rows:
             result[name] = [None] * len(fractions)
             continue
@@ -188,6 +229,12 @@ def percentiles_from_counts(counts: DataFrame, wanted: Mapping[str, Sequence[flo
     return result
 
 
+def percentile_ranks(rows: int, fractions: Sequence[float]) -> list[tuple[int, int, float]]:
+    """Lower rank, upper rank and weight of the upper one for each fraction."""
+    spots = [p * (rows - 1) for p in fractions]
+    return [(int(s), min(int(s) + 1, rows - 1), s - int(s)) for s in spots]
+
+
 def exact_percentiles(df: DataFrame, wanted: Mapping[str, tuple[Column, Sequence[float]]],
                       approx: bool = False) -> dict[str, list[float | None]]:
     """Percentiles of numeric columns; ``approx`` trades exactness for one map-side sketch."""
@@ -195,7 +242,7 @@ def exact_percentiles(df: DataFrame, wanted: Mapping[str, tuple[Column, Sequence
         row = df.agg(*[F.percentile_approx(column.cast("double"), list(fractions), 10_000).alias(name)
                        for name, (column, fractions) in wanted.items()]).first()
         return {name: list(row[name]) if row[name] else [None] * len(wanted[name][1]) for name in wanted}
-    counts = value_counts(df, {name: column.cast("double") for name, (column, _) in wanted.items()})
+    counts = value_counts(df, {name: number(column) for name, (column, _) in wanted.items()})
     with kept(counts) as counts:
         return percentiles_from_counts(counts, {name: p for name, (_, p) in wanted.items()})
 
@@ -227,7 +274,7 @@ def _cuts_in_group(group: DataFrame, order: list[str], kinds: Mapping[str, T.Dat
     kind = kinds[first]
     with kept(value_counts(group, {first: quoted(first)})) as counts:
         totals = count_totals(counts)
-        known, _, nulls = totals.get(first, (0, 0, 0))
+        known, nulls = totals.get(first, Totals()).rows, totals.get(first, Totals()).nulls
         hits = values_at(counts, {first: [p for p in positions if p < known]}, totals, window_rows)
     cuts: list[Cut] = []
     for position in positions:
@@ -337,16 +384,17 @@ def _tuple_before(row: Mapping[str, Any], cut: Cut, kinds: Mapping[str, T.DataTy
 
 
 def with_running_totals(df: DataFrame, order: Sequence[Column], sums: Mapping[str, Column],
-                        by: Sequence[str] = (), rows_bound: int | None = None,
+                        by: Sequence[str] = (), rows_bound: int | None = None, staged: bool = False,
                         window_rows: int | None = None) -> DataFrame:
     """Inclusive running sums along ``order`` within each ``by`` group.
 
     ``order`` should be unique within a group. A table beyond one window is range
     partitioned and written; part totals give each part its starting offset.
+    ``rows_bound`` is a known bound on the rows, ``staged`` says they are written already.
     """
     window_rows = window_rows or WINDOW_ROWS
     if rows_bound is None or rows_bound > window_rows:
-        df = stage(df, "running")
+        df = df if staged else stage(df, "running")
         rows = df.count()
     else:
         rows = rows_bound

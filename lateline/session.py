@@ -4,10 +4,11 @@ from __future__ import annotations
 
 import tempfile
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from concurrent.futures import ThreadPoolExecutor
 from contextlib import contextmanager
 
-from pyspark import StorageLevel
+from pyspark import StorageLevel, inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 
 _fallback: dict[str, str] = {}
@@ -69,3 +70,11 @@ def kept(df: DataFrame) -> Iterator[DataFrame]:
         yield df
     finally:
         df.unpersist()
+
+
+def together(*tasks: Callable[[], object]) -> list:
+    """Run independent steps at once, so that their jobs share the executors."""
+    if len(tasks) < 2:
+        return [task() for task in tasks]
+    with ThreadPoolExecutor(len(tasks)) as pool:
+        return [done.result() for done in [pool.submit(inheritable_thread_target(task)) for task in tasks]]
