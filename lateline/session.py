@@ -76,5 +76,6 @@ def together(*tasks: Callable[[], object]) -> list:
     """Run independent steps at once, so that their jobs share the executors."""
     if len(tasks) < 2:
         return [task() for task in tasks]
+    inherit = inheritable_thread_target(SparkSession.getActiveSession())
     with ThreadPoolExecutor(len(tasks)) as pool:
-        return [done.result() for done in [pool.submit(inheritable_thread_target(task)) for task in tasks]]
+        return [done.result() for done in [pool.submit(inherit(task)) for task in tasks]]

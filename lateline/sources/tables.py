@@ -18,7 +18,7 @@ def write_splits(df: DataFrame, path: str, form: str = "parquet") -> None:
     if form == "csv":
         writer = writer.option("header", True)
     writer.format(form).save(f"{path}/rows")
-    split_summary(read_splits(df.sparkSession, path) if form == "parquet" else df).write.mode("overwrite").parquet(
+    split_summary(read_splits(df.sparkSession, path, ()) if form == "parquet" else df).write.mode("overwrite").parquet(
         f"{path}/summary")
 
 
