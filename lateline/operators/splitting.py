@@ -53,7 +53,9 @@ def time_split(df: DataFrame, date_column: str = ORDER_DATE, order_by: Sequence[
         return row_order_split(df, order_by, ratios, column)
     if isinstance(df.schema[date_column].dataType, T.StringType):
         df = df.withColumn(date_column, F.try_to_timestamp(quoted(date_column)))
-    return ordered_split(df, [date_column, *order_by], ratios, column)
+    # Days are few whatever the resolution of the clock; only the boundary day is looked at closer.
+    daily = df.withColumn("_day", quoted(date_column).cast("date"))
+    return ordered_split(daily, ["_day", date_column, *order_by], ratios, column).drop("_day")
 
 
 def row_order_split(df: DataFrame, order_by: Sequence[str] = (), ratios: Sequence[float] = SPLIT_RATIOS,
@@ -69,7 +71,9 @@ def random_split(df: DataFrame, seed: int = SEED, ratios: Sequence[float] = SPLI
                  column: str = SPLIT) -> DataFrame:
     """Exact sizes in the order of a seeded hash of the whole row."""
     mixed = df.withColumn("_mixed", F.xxhash64(F.lit(seed), *[quoted(c) for c in _sortable(df, [])]))
-    return ordered_split(mixed, ["_mixed"], ratios, column).drop("_mixed")
+    # A million leading values of the hash place the cuts; the full hash orders one of them.
+    mixed = mixed.withColumn("_leading", F.shiftright("_mixed", 44))
+    return ordered_split(mixed, ["_leading", "_mixed"], ratios, column).drop("_leading", "_mixed")
 
 
 def split_data(df: DataFrame, method: str = "time", shuffle_within_splits: bool = False, seed: int = SEED,

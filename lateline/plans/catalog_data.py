@@ -111,7 +111,10 @@ def _(spark, folder):
     return found.agg(F.count(F.lit(1)).alias("rows"), F.sum(QUANTITY).alias("quantity"))
 
 
-@query("s11_s12_split_round_trip")
+@query("s11_s12_split_round_trip", over("clean", """AND VIEW k AS (SELECT count(*) AS n FROM clean)
+SELECT 'train' AS split, CAST(floor(n * 0.7::DOUBLE) AS BIGINT) AS "rows" FROM k UNION ALL SELECT 'validation',
+CAST(floor(n * (0.7::DOUBLE + 0.15::DOUBLE)) AS BIGINT) - CAST(floor(n * 0.7::DOUBLE) AS BIGINT) FROM k
+UNION ALL SELECT 'test', n - CAST(floor(n * (0.7::DOUBLE + 0.15::DOUBLE)) AS BIGINT) FROM k"""))
 def _(spark, folder):
     path = _folder(spark, "splits")
     tables.write_splits(divided(spark, folder), path)
@@ -137,9 +140,13 @@ def _(spark, folder):
     return quality.row_count_check(raw_shipments(spark, folder)).select("check", "severity", "rows")
 
 
-@query("v02_required_columns")
+@query("v02_required_columns", "SELECT 'required_columns' AS \"check\", 'error' AS severity, count(*) AS \"rows\" FROM (VALUES "
+       + ", ".join(f"('{c}')" for c in REQUIRED) + """) r(name)
+WHERE name NOT IN (SELECT column_name FROM information_schema.columns WHERE table_name = 'lineitem')
+UNION ALL SELECT 'row_count', 'ok', count(*) FROM lineitem""")
 def _(spark, folder):
-    return quality.required_columns_check(table(spark, folder, "lineitem"))
+    report = quality.validate(table(spark, folder, "lineitem")).report
+    return report.filter(F.col("check").isin("required_columns", "row_count")).select("check", "severity", "rows")
 
 
 @query("v03_target", over("raw", _rule("target_nulls", TARGET, f'"{TARGET}" IS NULL', "error") + " UNION ALL "
@@ -218,9 +225,45 @@ def _(spark, folder):
     return quality.table_statistics(raw_shipments(spark, folder))
 
 
-@query("v11_validate_all")
-def _(spark, folder):
-    return quality.validate(raw_shipments(spark, folder)).report
+_COLUMNS = ["Type", REAL_DAYS, SCHEDULED_DAYS, "Benefit per order", "Sales per customer", "Delivery Status", TARGET,
+            CATEGORY, "Customer Country", "Customer Email", "Customer Fname", "Customer Id", "Customer Segment",
+            "Department Name", MARKET, "Order City", "Order Country", ORDER_DATE, ORDER_ID, DISCOUNT, "Order Item Id",
+            ITEM_PRICE, QUANTITY, SALES, REGION, "Order Status", "Product Card Id", "Product Name", "Product Price",
+            SHIP_DATE, SHIPPING_MODE]
+_DOMAINS = {SHIPPING_MODE: "'Standard Class', 'First Class', 'Second Class', 'Same Day'",
+            "Customer Segment": "'Consumer', 'Corporate', 'Home Office'",
+            MARKET: "'LATAM', 'Europe', 'Pacific Asia', 'USCA', 'Africa'"}
+_ALL_RULES = " UNION ALL ".join([
+    _rule("target_nulls", TARGET, f'"{TARGET}" IS NULL', "error"),
+    _rule("target_values", TARGET, f'"{TARGET}" NOT IN (0, 1)', "error"),
+    *[_rule("missing_values", c, f'"{c}" IS NULL', "warning" if c in REQUIRED else "ok", 10.0) for c in _COLUMNS],
+    *[_rule(check, c, test, "warning") for c, (low, high) in _LIMITS.items()
+      for check, test in (("below_minimum", f'"{c}" < {low}'), ("above_maximum", f'"{c}" > {high}'),
+                          ("negative", f'"{c}" < 0'))],
+    *[_rule(f"date_too_{word}", c, f"\"{c}\" {sign} TIMESTAMP '{limit}'", "warning") for c in (ORDER_DATE, SHIP_DATE)
+      for word, sign, limit in (("early", "<", "2010-01-01"), ("late", ">", "2030-01-01"))],
+    _rule("shipped_before_ordered", SHIP_DATE, f'"{SHIP_DATE}" < "{ORDER_DATE}"', "warning"),
+    _rule("late_flag_mismatch", TARGET, f'CAST(coalesce("{REAL_DAYS}" > "{SCHEDULED_DAYS}", false) AS INTEGER) '
+          f'IS DISTINCT FROM "{TARGET}"', "warning", 5.0),
+    """SELECT 'row_count', NULL, CASE WHEN count(*) = 0 THEN 'error' WHEN count(*) < 100 THEN 'warning' ELSE 'ok' END,
+count(*), 100.0::DOUBLE FROM raw""",
+    "SELECT 'required_columns', NULL, 'ok', 0, 0.0::DOUBLE",
+    f"""SELECT 'duplicate_rows', NULL, CASE WHEN n * 100.0::DOUBLE / total > 5 THEN 'warning' ELSE 'ok' END, n,
+{half_even('n * 100.0::DOUBLE / total', 4)} FROM (SELECT (SELECT count(*) FROM raw) AS total,
+(SELECT count(*) FROM raw) - (SELECT count(*) FROM (SELECT DISTINCT * FROM raw)) AS n)""",
+    f"""SELECT 'repeated_order_id', '{ORDER_ID}', 'ok', n, {half_even('n * 100.0::DOUBLE / total', 4)} FROM
+(SELECT (SELECT count(*) FROM raw) AS total, (SELECT count(*) - count(DISTINCT "{ORDER_ID}") FROM raw) AS n)""",
+    *[f"""SELECT 'unexpected_value', '{c}', 'warning', count(*), 0.0::DOUBLE FROM raw WHERE "{c}" NOT IN ({accepted})
+GROUP BY "{c}" """ for c, accepted in _DOMAINS.items()],
+    f"""SELECT 'class_balance', '{TARGET}', CASE WHEN count(*) = 2 AND min(n) * 100.0::DOUBLE / sum(n) < 30 THEN 'warning'
+ELSE 'ok' END, min(n), {half_even('min(n) * 100.0::DOUBLE / sum(n)', 4)} FROM (SELECT count(*) AS n FROM raw
+WHERE "{TARGET}" IS NOT NULL GROUP BY "{TARGET}")"""])
+
+
+@query("v11_validate_all", over("raw", f"AND VIEW r AS ({_ALL_RULES}) SELECT * FROM r"))
+def _(spark, folder):
+    report = quality.validate(raw_shipments(spark, folder)).report.select(*_FIELDS)
+    return report.withColumn("percent", F.coalesce("percent", F.lit(0.0)))
 
 
 @query("v12_class_balance_report", over("raw", f"""AND VIEW c AS (SELECT count(*) FILTER (WHERE "{TARGET}" = 0) AS on_time,

@@ -129,8 +129,13 @@ def _(spark, folder):
 
 @query("f40_feature_names")
 def _(spark, folder):
-    names = features.feature_names(features.drop_non_features(featured(spark, folder)), include_target=True)
-    return spark.createDataFrame([(i, n) for i, n in enumerate(names)], "position int, feature string")
+    """Each feature, in order, with the rows that have it."""
+    table = features.drop_non_features(featured(spark, folder))
+    names = features.feature_names(table, include_target=True)
+    known = table.agg(*[F.count(quoted(n)).alias(f"n{i}") for i, n in enumerate(names)])
+    items = F.array(*[F.struct(F.lit(i).alias("position"), F.lit(n).alias("feature"), F.col(f"n{i}").alias("rows"))
+                      for i, n in enumerate(names)])
+    return known.select(F.explode(items).alias("f")).select("f.*")
 
 
 @query("f41_features_and_target", over("clean", f'SELECT "{TARGET}", count(*) AS "rows" FROM clean GROUP BY 1'))
@@ -175,14 +180,19 @@ def _(spark, folder):
     return splitting.time_split(_line(spark, folder), date_column="absent", order_by=[ORDER_ID, "Order Item Id"])
 
 
-@query("t04_random_split", over("ship", """SELECT 'train' AS split, CAST(floor(count(*) * 0.7::DOUBLE) AS BIGINT) AS "rows" FROM ship
-UNION ALL SELECT 'validation', CAST(floor(count(*) * (0.7::DOUBLE + 0.15::DOUBLE)) AS BIGINT) - CAST(floor(count(*) * 0.7::DOUBLE) AS BIGINT) FROM ship
-UNION ALL SELECT 'test', count(*) - CAST(floor(count(*) * (0.7::DOUBLE + 0.15::DOUBLE)) AS BIGINT) FROM ship"""))
+def _sizes_sql(view: str, train: float, validation: float) -> str:
+    first, second = f"CAST(floor(n * {train!r}::DOUBLE) AS BIGINT)", f"CAST(floor(n * ({train!r}::DOUBLE + {validation!r}::DOUBLE)) AS BIGINT)"
+    return over(view, f"""AND VIEW k AS (SELECT count(*) AS n FROM {view})
+SELECT 'train' AS split, {first} AS "rows" FROM k UNION ALL SELECT 'validation', {second} - {first} FROM k
+UNION ALL SELECT 'test', n - {second} FROM k""")
+
+
+@query("t04_random_split", _sizes_sql("ship", 0.7, 0.15))
 def _(spark, folder):
     return splitting.random_split(_line(spark, folder)).groupBy("split").agg(F.count(F.lit(1)).alias("rows"))
 
 
-@query("t06_shuffled_splits")
+@query("t06_shuffled_splits", _split_sql(_LINE, "SELECT * FROM parted"))
 def _(spark, folder):
     return splitting.split_data(_line(spark, folder), shuffle_within_splits=True)
 
@@ -215,7 +225,7 @@ def _(spark, folder):
     return _picked(table.drop(*coded), [*_MATRIX, TARGET])
 
 
-@query("t01_t10_split_data")
+@query("t01_t10_split_data", _sizes_sql("ship", 0.6, 0.2))
 def _(spark, folder):
     return splitting.split_data(_line(spark, folder), method="random", ratios=(0.6, 0.2, 0.2)).groupBy("split").agg(
         F.count(F.lit(1)).alias("rows"))
@@ -332,9 +342,6 @@ def _(spark, folder):
         round_half_even(F.col(c), 8).alias(c) for c in ("correlation", "abs_correlation")])
 
 
-@query("t_split_of_features", over("feat", f"""AND VIEW k AS (SELECT count(*) AS n FROM feat)
-SELECT 'train' AS split, CAST(floor(n * 0.7::DOUBLE) AS BIGINT) AS "rows" FROM k
-UNION ALL SELECT 'validation', CAST(floor(n * (0.7::DOUBLE + 0.15::DOUBLE)) AS BIGINT) - CAST(floor(n * 0.7::DOUBLE) AS BIGINT) FROM k
-UNION ALL SELECT 'test', n - CAST(floor(n * (0.7::DOUBLE + 0.15::DOUBLE)) AS BIGINT) FROM k"""))
+@query("t_split_of_features", _sizes_sql("clean", 0.7, 0.15))
 def _(spark, folder):
     return divided(spark, folder).groupBy("split").agg(F.count(F.lit(1)).alias("rows"))

@@ -7,7 +7,9 @@ are always the whole tables.
 from __future__ import annotations
 
 import uuid
+from functools import reduce
 
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lateline.functions.expressions import quoted, round_half_even
@@ -16,7 +18,7 @@ from lateline.operators.risk import risk_summary
 from lateline.operators.splitting import SPLIT, model_columns
 from lateline.operators.features import drop_non_features
 from lateline.plans import jobs
-from lateline.plans.catalog import cleaned, derived, divided, featured, query
+from lateline.plans.catalog import derived, divided, featured, query
 from lateline.plans.catalog_features import RANKED
 from lateline.plans.oracle_views import half_even, over
 from lateline.plans.shipments import raw_shipments
@@ -101,7 +103,15 @@ def _ensembles(spark, folder):
 
 @query("m08_base_estimators")
 def _(spark, folder):
-    return _ensembles(spark, folder).base_estimators()
+    """Test metrics of each base classifier on its own."""
+    parts = []
+    for name in SMALL_BASES:
+        if name in ensembles.BASES:
+            trainer = ensembles.EnsembleTrainer(_rows(spark, folder, "train"), _columns(spark, folder),
+                                                params=SMALL_BASES, bases=[name])
+            parts.append(_measured(trainer.train_voting(cv_folds=0), _rows(spark, folder, "test"))
+                         .withColumn("model", F.lit(name)))
+    return reduce(DataFrame.unionByName, parts)
 
 
 @query("m09_stacking")
@@ -173,7 +183,11 @@ def _(spark, folder):
                                           "delay_risk_category", "delay_risk_score")
 
 
-@query("j01_s16_full_job")
+@query("j01_s16_full_job", over("base", """SELECT 'load' AS stage, 'rows' AS key, count(*)::VARCHAR AS value FROM raw
+UNION ALL SELECT 'preprocess', 'rows', count(*)::VARCHAR FROM crit
+UNION ALL SELECT * FROM (VALUES ('load', 'status', 'success'), ('validate', 'status', 'success'), ('validate', 'is_valid', 'False'),
+('preprocess', 'status', 'success'), ('features', 'status', 'success'), ('features', 'columns', '57'), ('train', 'status', 'success'),
+('train', 'action', 'trained'), ('evaluate', 'status', 'success'), ('evaluate', 'models_evaluated', '3'))"""))
 def _(spark, folder):
     return jobs.run_full(spark, raw_shipments(spark, folder), jobs.Paths(_folder(spark, "full")), params=SMALL)
 
@@ -209,12 +223,6 @@ def _(spark, folder):
     return parts[0].unionByName(parts[1])
 
 
-@query("p12_cleaned_columns")
-def _(spark, folder):
-    table = cleaned(spark, folder)
-    return spark.createDataFrame(table.dtypes, "column string, dtype string")
-
-
 @query("fitted_state_round_trip", over("clean", f"""SELECT CAST(count(*) AS BIGINT) AS "rows", {half_even('sum("Sales") / count(*)', 4)} AS mean_sales FROM clean"""))
 def _(spark, folder):
     """A stored cleaner gives the same table as the one that was fitted."""

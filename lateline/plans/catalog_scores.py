@@ -69,6 +69,13 @@ def _(spark, folder):
     return _rounded(metrics.ranking_metrics(scored(spark, folder)), "roc_auc", "average_precision", digits=8)
 
 
+@query("a04_a05_many_scores", over("feat", f"""AND VIEW scored AS (SELECT "{TARGET}" AS label, value_per_unit_norm AS probability FROM feat),
+{_CURVE[9:]} SELECT {_AREAS} FROM cum"""))
+def _(spark, folder):
+    rows = featured(spark, folder).select(quoted(TARGET).alias("label"), F.col("value_per_unit_norm").alias("probability"))
+    return _rounded(metrics.ranking_metrics(rows), "roc_auc", "average_precision", digits=8)
+
+
 @query("a06_roc_points", over("scored", f"""{_CURVE} SELECT threshold, {half_even('fp::DOUBLE / nn', 8)} AS fpr,
 {half_even('tp::DOUBLE / pp', 8)} AS tpr FROM cum"""))
 def _(spark, folder):
