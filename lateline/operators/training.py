@@ -65,7 +65,7 @@ def estimator(kind: str, params: Mapping, rows: int, features_col: str, early_st
     common = {"featuresCol": features_col, "labelCol": LABEL, "weightCol": WEIGHT}
     if kind == "logistic_regression":
         # The penalty is per summed loss; MLlib's is per mean loss.
-        return LogisticRegression(maxIter=params["max_iter"], regParam=1.0 / (params["C"] * max(rows, 1)),
+        return LogisticRegression(maxIter=params["max_iter"], tol=params.get("tol", 1e-4), regParam=1.0 / (params["C"] * max(rows, 1)),
                                   elasticNetParam=0.0, standardization=False, **common)
     if kind == "random_forest":
         return RandomForestClassifier(
