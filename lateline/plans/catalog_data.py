@@ -164,9 +164,7 @@ def _(spark, folder):
     return quality.balance_check(raw_shipments(spark, folder)).select("message", "rows", "percent")
 
 
-@query("v05_duplicates", over("raw", f"""AND VIEW d AS (SELECT count(*) AS n FROM raw GROUP BY ALL),
-g AS (SELECT count(*) AS n FROM (SELECT * FROM raw) r GROUP BY ALL)
-SELECT 'duplicate_rows' AS "check", CAST((SELECT count(*) FROM raw) - (SELECT count(*) FROM (SELECT DISTINCT * FROM raw))
+@query("v05_duplicates", over("raw", f"""SELECT 'duplicate_rows' AS "check", CAST((SELECT count(*) FROM raw) - (SELECT count(*) FROM (SELECT DISTINCT * FROM raw))
 AS BIGINT) AS "rows" UNION ALL SELECT 'repeated_order_id', CAST((SELECT count(*) FROM raw) -
 (SELECT count(DISTINCT "{ORDER_ID}") FROM raw) AS BIGINT)"""))
 def _(spark, folder):
