@@ -2,11 +2,16 @@
 
 from __future__ import annotations
 
-from lateline.llm import exact_dedup, mixing
+import uuid
+
+from lateline.llm import exact_dedup, mixing, packing, token_files
 from lateline.llm.registry import QUERIES, SQL, query  # noqa: F401
+from lateline.llm.shipping import ship
+from lateline.session import shared_folder
 
 
 def _table(spark, folder, name):
+    ship(spark)
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
@@ -18,3 +23,21 @@ def op2(spark, folder):
 @query("op3_source_mix", mixing.MIX_SQL)
 def op3(spark, folder):
     return mixing.mix(_table(spark, folder, "documents")).select("doc_id", "size", "source_size", "target", "taken")
+
+
+def _tokenizer() -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path("byte_bpe_50k.json")
+
+
+@query("op4_token_files")
+def op4(spark, folder):
+    path = f"{shared_folder(spark)}/tokens-{uuid.uuid4().hex}"
+    token_files.write_token_files(_table(spark, folder, "documents"), path, _tokenizer(), end_id=2)
+    return token_files.read_token_digests(spark, path)
+
+
+@query("op6_best_fit_packing")
+def op6(spark, folder):
+    return packing.packed_documents(_table(spark, folder, "documents"), _tokenizer(), end_id=0, capacity=2048)
