@@ -4,7 +4,9 @@ from __future__ import annotations
 
 import uuid
 
-from lateline.llm import exact_dedup, mixing, packing, token_files
+from pyspark.sql import functions as F
+
+from lateline.llm import exact_dedup, language_id, mixing, packing, quality_fm, token_files
 from lateline.llm.registry import QUERIES, SQL, query  # noqa: F401
 from lateline.llm.shipping import ship
 from lateline.session import shared_folder
@@ -41,3 +43,23 @@ def op4(spark, folder):
 @query("op6_best_fit_packing")
 def op6(spark, folder):
     return packing.packed_documents(_table(spark, folder, "documents"), _tokenizer(), end_id=0, capacity=2048)
+
+
+@query("op1_language_id")
+def op1(spark, folder):
+    docs = _table(spark, folder, "documents").select("doc_id", "text", "lang")
+    apart = language_id.held_out(F.col("doc_id"))
+    learned = docs.filter(~apart & F.col("doc_id").isNotNull())
+    model = language_id.learn(learned)
+    rows = docs.select("doc_id", "text", apart.alias("held_out"))
+    return language_id.identify(rows, model).select("doc_id", "held_out", "lang_pred", "score", "margin", "accepted")
+
+
+@query("op10_quality_fm")
+def op10(spark, folder):
+    docs = _table(spark, folder, "documents").select("doc_id", "text", "n_chars")
+    apart = language_id.held_out(F.col("doc_id"))
+    labels = _table(spark, folder, "labels").filter(~apart)
+    machine = quality_fm.learn(docs, labels)
+    rated = quality_fm.score(docs.withColumn("held_out", apart), machine, ["doc_id", "held_out"])
+    return rated.withColumn("predicted", (F.col("score") >= 0.3).cast("int"))
