@@ -5,7 +5,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-_SPACES = r"[\x20\x09-\x0D]+"
+#: Runs of white space other than a single blank.
+_SPACES = r"[\x09-\x0D][\x20\x09-\x0D]*|\x20[\x20\x09-\x0D]+"
+#: Leading characters that the splitters hold; texts that begin alike are split by their hash.
+_LEAD = 32
 
 
 def normalised(text: Column) -> Column:
@@ -17,8 +20,9 @@ def exact_duplicates(docs: DataFrame, id_column: str = "doc_id", text_column: st
                      runs: int | None = None) -> DataFrame:
     """Mark, for every row, the row that stays among those of equal text.
 
-    The normalised bytes are range-partitioned by splitters that Spark samples, each
-    part is sorted outside memory, and the sorted neighbours are compared in full: a
+    The normalised bytes are range-partitioned by splitters that Spark samples (their
+    first characters, then a hash of the whole, so that a splitter is small and a common
+    beginning is no hot spot), each part is sorted outside memory, and the sorted neighbours are compared in full: a
     new group begins where a text differs from the one before it. The smallest
     identifier of a group stays.
 
@@ -45,12 +49,12 @@ def exact_duplicates(docs: DataFrame, id_column: str = "doc_id", text_column: st
         "digest", F.ceil(F.col("copies") * runs / max(total, 1)).alias("cuts"))
     rows = rows.join(F.broadcast(frequent), "digest", "left").withColumn(
         "run", F.when(F.col("cuts") > 1, F.pmod(F.xxhash64("id"), F.col("cuts"))).otherwise(F.lit(-1)))
-    group = Window.partitionBy("norm", "run")
+    rows = rows.withColumn("lead", F.substring("norm", 1, _LEAD))
+    group = Window.partitionBy("lead", "digest", "norm", "run")
     order = group.orderBy(F.col("id").asc_nulls_last())
 
     def runs_of(part: DataFrame) -> DataFrame:
-        return (part.select("id", "norm", "run").repartitionByRange("norm", "run")
-                .withColumn("place", F.row_number().over(order))
+        return (part.withColumn("place", F.row_number().over(order))
                 .withColumn("head", F.first("id").over(order))
                 .withColumn("size", F.count(F.lit(1)).over(group)))
 
@@ -60,7 +64,8 @@ def exact_duplicates(docs: DataFrame, id_column: str = "doc_id", text_column: st
         "norm", "run", F.min("id").over(whole).alias("keep"), F.sum("size").over(whole).alias("group_size"),
         F.row_number().over(whole.orderBy(F.col("id").asc_nulls_last())).alias("rank"))
     heads = heads.select(F.sha2("norm", 256).alias("text_sha256"), "run", "keep", "group_size", "rank")
-    sorted_rows = runs_of(rows).select(
+    ranged = rows.select("id", "norm", "lead", "digest", "run").repartitionByRange("lead", "digest", "run")
+    sorted_rows = runs_of(ranged).select(
         "id", "run", "head", "place", "size", F.sha2("norm", 256).alias("text_sha256"))
     met = sorted_rows.join(F.broadcast(heads), ["text_sha256", "run"], "left")
     return met.select(
