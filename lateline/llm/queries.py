@@ -6,7 +6,7 @@ import uuid
 
 from pyspark.sql import functions as F
 
-from lateline.llm import exact_dedup, language_id, mixing, packing, quality_fm, token_files
+from lateline.llm import exact_dedup, language_id, line_dedup, mixing, packing, quality_fm, token_files
 from lateline.llm.registry import QUERIES, SQL, query  # noqa: F401
 from lateline.llm.shipping import ship
 from lateline.session import shared_folder
@@ -63,3 +63,9 @@ def op10(spark, folder):
     machine = quality_fm.learn(docs, labels)
     rated = quality_fm.score(docs.withColumn("held_out", apart), machine, ["doc_id", "held_out"])
     return rated.withColumn("predicted", (F.col("score") >= 0.3).cast("int"))
+
+
+@query("op5_line_dedup", line_dedup.LINES_SQL)
+def op5(spark, folder):
+    docs = _table(spark, folder, "documents").select("doc_id", "text")
+    return line_dedup.drop_recurring_lines(docs).withColumnRenamed("__dropped", "dropped")
