@@ -103,12 +103,12 @@ k AS (SELECT *, len(t) AS n, array_to_string(t[1:3], ' ') AS lead FROM s),
 h AS (SELECT n, lead, count(DISTINCT doc_id) AS c FROM k GROUP BY ALL HAVING c >= 4),
 held AS (SELECT k.* FROM k JOIN h USING (n, lead)),
 d AS (SELECT n, lead, tokens, any_value(t) AS t, count(DISTINCT doc_id) AS docs FROM held GROUP BY n, lead, tokens),
-e AS (SELECT n, lead, tokens, docs, unnest(t) AS token, unnest(range(len(t))) AS at FROM d),
-u AS (SELECT n, lead, at, token, sum(docs) AS support FROM e GROUP BY ALL),
+e AS (SELECT n, lead, tokens, docs, unnest(t) AS token, unnest(range(len(t))) AS pos FROM d),
+u AS (SELECT n, lead, pos, token, sum(docs) AS support FROM e GROUP BY ALL),
 f AS (SELECT n, lead, tokens,
-             string_agg(CASE WHEN support >= 4 AND token != '<*>' THEN token ELSE '<*>' END, ' ' ORDER BY at) AS template,
+             string_agg(CASE WHEN support >= 4 AND token != '<*>' THEN token ELSE '<*>' END, ' ' ORDER BY pos) AS template,
              sum(CASE WHEN support >= 4 AND token != '<*>' THEN 1 ELSE 0 END) AS constants
-      FROM e JOIN u USING (n, lead, at, token) GROUP BY n, lead, tokens HAVING constants >= 0.7 * n),
+      FROM e JOIN u USING (n, lead, pos, token) GROUP BY n, lead, tokens HAVING constants >= 0.7 * n),
 g AS (SELECT held.doc_id, line_no, template FROM held JOIN f USING (n, lead, tokens)),
 r AS (SELECT template, min((doc_id, line_no)) AS first FROM g GROUP BY template HAVING count(DISTINCT doc_id) >= 4),
 x AS (SELECT doc_id, line_no FROM g JOIN r USING (template) WHERE (doc_id, line_no) != first),
