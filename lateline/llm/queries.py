@@ -6,7 +6,7 @@ import uuid
 
 from pyspark.sql import functions as F
 
-from lateline.llm import exact_dedup, language_id, line_dedup, mixing, ngram_join, packing, quality_fm, token_files
+from lateline.llm import exact_dedup, language_id, line_dedup, lm_score, mixing, ngram_join, packing, quality_fm, token_files
 from lateline.llm.registry import QUERIES, SQL, query  # noqa: F401
 from lateline.llm.shipping import ship
 from lateline.session import shared_folder
@@ -75,3 +75,8 @@ def op5(spark, folder):
 def op8(spark, folder):
     docs = _table(spark, folder, "documents").select("doc_id", "text")
     return ngram_join.similar_documents(docs).select("doc_id", "class_id", "links", "kept")
+
+
+@query("op7_lm_score")
+def op7(spark, folder):
+    return lm_score.lm_scores(_table(spark, folder, "documents").select("doc_id", "text"))
