@@ -70,8 +70,7 @@ def lm_scores(docs: DataFrame, backoff: float = BACKOFF, id_column: str = "doc_i
     that makes rare words look commoner, never frequent ones.
 
     Words are in lower case. A text without words, null or empty, has 0 words and a null score.
-    Rows repeated with identifier and text are one document whose words count as often; each
-    of the rows gets its score. An empty table gives an empty result.
+    Rows repeated with identifier and text are other documents to each other, with equal scores. An empty table gives an empty result.
     """
     rows = docs.select(F.col(id_column).cast("long").alias("doc_id"), F.xxhash64(id_column, text_column).alias("row"),
                        F.lower(F.coalesce(F.col(text_column), F.lit(""))).alias("text"))

@@ -99,18 +99,22 @@ def mix(docs: DataFrame, weights: Mapping[str | None, float] | None = None, shar
 
 
 def mixed_documents(docs: DataFrame, weights: Mapping[str | None, float] | None = None, share: float = 1.5,
-                    most: float = 2.0) -> DataFrame:
-    """The documents of the mix, repeated as often as taken; one cut at the budget ends after its last word taken.
+                    most: float = 2.0, id_column: str = "doc_id", text_column: str = "text",
+                    source_column: str = "source") -> DataFrame:
+    """The rows of the mix, repeated as often as taken; one cut at its source's budget has its first words only.
 
-    Columns are those of the input. Rows without words are not part of a mix by words.
+    Columns are those of the input, whatever their names. Rows without words are no part of a mix by words.
     """
-    columns = docs.columns
-    taken = mix(docs, weights, share, most, carry=tuple(c for c in columns if c not in ("doc_id", "source")))
+    rows = docs.select(*[F.col(c).alias(n) for c, n in ((id_column, "id"), (text_column, "text"), (source_column, "source"))],
+                       F.struct(*docs.columns).alias("row"))
+    taken = mix(rows, weights, share, most, "id", "text", "source", carry=("row",))
     times = F.col("epochs") + (F.col("part") > 0).cast("long")
-    copies = taken.filter(times > 0).withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("long"), times)))
-    short = (F.col("_copy") > F.col("epochs")) & (F.col("part") < F.col("size"))
-    words = F.array_join(F.slice(F.regexp_extract_all("text", F.lit(f"({_WORD})")), F.lit(1), F.col("part").cast("int")), " ")
-    return copies.withColumn("text", F.when(short, words).otherwise(F.col("text"))).select(*columns)
+    copies = taken.filter(times > 0).withColumn("copy", F.explode(F.sequence(F.lit(1).cast("long"), times)))
+    text = F.col("row")[text_column]
+    short = (F.col("copy") > F.col("epochs")) & (F.col("part") < F.col("size"))
+    cut = F.array_join(F.slice(F.regexp_extract_all(text, F.lit(f"({_WORD})")), F.lit(1), F.col("part").cast("int")), " ")
+    return copies.select(*[F.when(short, cut).otherwise(text).alias(c) if c == text_column else F.col("row")[c].alias(c)
+                           for c in docs.columns])
 
 
 MIX_SQL = r"""

@@ -6,7 +6,7 @@ import uuid
 
 from pyspark.sql import functions as F
 
-from lateline.llm import exact_dedup, language_id, line_dedup, lm_score, mixing, ngram_join, packing, quality_fm, token_files
+from lateline.llm import exact_dedup, language_id, line_dedup, lm_score, mixing, ngram_join, packing, quality_fm, token_files, vector_search
 from lateline.llm.registry import QUERIES, SQL, query  # noqa: F401
 from lateline.llm.shipping import ship
 from lateline.session import shared_folder
@@ -80,3 +80,9 @@ def op8(spark, folder):
 @query("op7_lm_score")
 def op7(spark, folder):
     return lm_score.lm_scores(_table(spark, folder, "documents").select("doc_id", "text"))
+
+
+@query("op9_vector_search")
+def op9(spark, folder):
+    return vector_search.nearest(_table(spark, folder, "embeddings").select("vec_id", "embedding"),
+                                 F.col("vec_id") % 20 == 0)
