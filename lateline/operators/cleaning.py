@@ -40,7 +40,7 @@ class CleanOptions:
 
 @dataclass
 class CleaningState:
-    """Learned values and the counts behind the report."""
+    """Learned values of every listed column, and the counts behind the report."""
 
     fills: dict[str, float | str] = field(default_factory=dict)
     bounds: dict[str, tuple[float, float]] = field(default_factory=dict)
@@ -207,7 +207,7 @@ class Cleaner:
         with kept(value_counts(rows, {c: number(quoted(c)) for c in wanted})) as counts:
             totals = count_totals(counts)
             gaps = {c: rule for c, rule in o.numeric_fill.items()
-                    if o.handle_missing and totals.get(c, Totals()).nulls and totals[c].rows}
+                    if o.handle_missing and totals.get(c, Totals()).rows}
             bounded = [c for c in o.winsor if o.handle_outliers and totals.get(c, Totals()).rows]
             found = self._find_values(counts, totals, gaps, bounded)
             self._numeric_fills(counts, totals, gaps, found, state)
@@ -249,7 +249,8 @@ class Cleaner:
                 bottom, top = found[(c, low)].value, found[(c, high)].value
                 value = bottom + (top - bottom) * part
             state.fills[c] = value
-            state.imputed[c] = totals[c].nulls
+            if totals[c].nulls:
+                state.imputed[c] = totals[c].nulls
 
     def _winsor_bounds(self, counts: DataFrame, totals: dict[str, Totals], bounded: list[str], found: dict,
                        state: CleaningState) -> None:
@@ -278,7 +279,7 @@ class Cleaner:
         for row in counts.groupBy("name").agg(F.sum(outside).alias("rows")).collect():
             if row["rows"]:
                 state.capped[row["name"]] = row["rows"]
-                state.bounds[row["name"]] = tuple(bounds[row["name"]])
+        state.bounds.update({c: tuple(pair) for c, pair in bounds.items()})
 
     def _learn_categories(self, rows: DataFrame, state: CleaningState) -> None:
         wanted = [c for c in dict.fromkeys([*self.options.category_fill, *CATEGORICALS]) if c in rows.columns]
@@ -287,13 +288,14 @@ class Cleaner:
         with kept(value_counts(rows, {c: quoted(c).cast("string") for c in wanted})) as counts:
             totals = count_totals(counts)
             if self.options.handle_missing:
-                gaps = {c: rule for c, rule in self.options.category_fill.items() if totals.get(c, Totals()).nulls}
+                gaps = {c: rule for c, rule in self.options.category_fill.items() if c in rows.columns}
                 modes = {r["name"]: r["mode"]["value"] for r in (
                     counts.filter(F.col("value").isNotNull()).groupBy("name")
                     .agg(F.min(F.struct(-F.col("n"), F.col("value"))).alias("mode")).collect())} if gaps else {}
                 for c, rule in gaps.items():
                     state.fills[c] = modes.get(c, "Unknown") if rule == "mode" else rule
-                    state.imputed[c] = totals[c].nulls
+                    if totals.get(c, Totals()).nulls:
+                        state.imputed[c] = totals[c].nulls
             if self.options.standardize_categories:
                 value = F.col("value")
                 for c in (c for c in CATEGORICALS if c in state.fills):

@@ -21,10 +21,8 @@ from lateline.session import stage, together
 ONE_HOT = [SHIPPING_MODE, SEGMENT]
 LABELLED = [MARKET, REGION, CATEGORY]
 BAND = "discount_category"
-#: Lookup tables up to this size become literals, up to the next one a broadcast.
+#: Lookup tables up to this size become literals; larger ones are joined as the session sees fit.
 LITERAL_ROWS = 200
-BROADCAST_ROWS = 100_000
-ONE_HOT_COLUMNS = 2_000
 
 
 @dataclass
@@ -38,6 +36,8 @@ class FeatureOptions:
     keep_date_columns: bool = True
     skip_leaky_features: bool = False
     drop_non_features: bool = True
+    #: More values than this in a one-hot column are an error; None sets no limit.
+    one_hot_limit: int | None = None
     #: Columns whose order decides which category appears first.
     appearance: list[str] = field(default_factory=lambda: [ORDER_DATE, ORDER_ID])
 
@@ -180,8 +180,6 @@ class FeatureModel:
             return df.withColumn(new, value)
         learned = (self.categories.filter(F.col("name") == name)
                    .select(F.col("value").alias("_key"), F.col(column).alias(new)))
-        if self.state.sizes[name] <= BROADCAST_ROWS:
-            learned = F.broadcast(learned)
         return df.withColumn("_k", key).join(learned, F.col("_k") == F.col("_key"), "left").drop("_k", "_key")
 
     def region_frequency(self, df: DataFrame) -> DataFrame:
@@ -279,7 +277,7 @@ class FeatureBuilder:
         for row in categories.groupBy("name").agg(F.count(F.lit(1)).alias("size"), F.sum("n").alias("rows")).collect():
             state.sizes[row["name"]] = row["size"]
             state.rows = row["rows"]
-        self._check_width(state.sizes)
+        self._check_width(state.sizes, o.one_hot_limit)
         small = [name for name, size in state.sizes.items() if size <= LITERAL_ROWS or name in (*ONE_HOT, BAND)]
         for row in categories.filter(F.col("name").isin(small)).orderBy("name", "code").collect():
             state.small.setdefault(row["name"], []).append([row["value"], row["n"], row["code"]])
@@ -298,9 +296,9 @@ class FeatureBuilder:
         return stage(coded.select("name", "value", "n", (F.col("code") - 1).alias("code")), "categories")
 
     @staticmethod
-    def _check_width(sizes: Mapping[str, int]) -> None:
+    def _check_width(sizes: Mapping[str, int], limit: int | None) -> None:
         for c in (*ONE_HOT, BAND):
-            if sizes.get(c, 0) > ONE_HOT_COLUMNS:
+            if limit is not None and sizes.get(c, 0) > limit:
                 raise ValueError(f"{c!r} has {sizes[c]:,} values, too many for one column each")
 
     def fit_transform(self, df: DataFrame) -> tuple[DataFrame, FeatureModel]:

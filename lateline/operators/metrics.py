@@ -82,8 +82,7 @@ def ranking_metrics(df: DataFrame, by: Sequence[str] = (), label: str = "label",
 def _with_totals(curve: DataFrame, by: Sequence[str]) -> DataFrame:
     totals = curve.groupBy(*by).agg(F.sum("positives").alias("all_positives"), F.sum("negatives").alias("all_negatives"))
     if by:
-        # One row per model.
-        return curve.join(F.broadcast(totals), list(by))
+        return curve.join(totals, list(by))
     row = totals.first()
     return curve.withColumns({"all_positives": F.lit(row["all_positives"] or 0),
                               "all_negatives": F.lit(row["all_negatives"] or 0)})
@@ -113,7 +112,7 @@ def evaluate(df: DataFrame, by: Sequence[str] = (), label: str = "label", predic
     counted = rates(confusion(df, by, label, prediction))
     ranked = ranking_metrics(df, by, label, probability)
     if by:
-        return counted.join(F.broadcast(ranked), list(by))
+        return counted.join(ranked, list(by))
     row = ranked.first()
     return counted.withColumns({c: F.lit(row[c]).cast("double") for c in ("roc_auc", "average_precision")})
 
@@ -131,11 +130,12 @@ def threshold_sweep(df: DataFrame, thresholds: Sequence[float] | None = None, by
     """Rates at each threshold.
 
     A row counts once, under the number of thresholds it reaches; suffix sums of
-    those few buckets give the confusion matrix of every threshold.
+    those few buckets give the confusion matrix of every threshold. Rows without a
+    probability are left out, as in ``confusion``.
     """
     grid = sorted(thresholds if thresholds is not None else threshold_grid())
     reached = sum(((F.col(probability) >= t).cast("int") for t in grid[1:]), (F.col(probability) >= grid[0]).cast("int"))
-    buckets = df.groupBy(*by, F.coalesce(reached, F.lit(0)).alias("bucket")).agg(
+    buckets = df.filter(F.col(probability).isNotNull()).groupBy(*by, reached.alias("bucket")).agg(
         F.count_if(F.col(label) == 1).alias("p"), F.count_if(F.col(label) == 0).alias("n"))
     wide = buckets.groupBy(*by).agg(F.sum("p").alias("p"), F.sum("n").alias("n"), *[
         F.sum(F.when(F.col("bucket") > i, F.col(c)).otherwise(0)).alias(f"{c}{i}")

@@ -51,16 +51,19 @@ def report_rules(df: DataFrame, rules: Sequence[Rule], with_row_count: bool = Fa
     made = [f"named_struct('check', {sql_text(r.check)}, 'column', {sql_text(r.column)}, 'rows', n{i}, 'text', "
             f"{sql_text(r.text)}, 'level', {sql_text(r.level)}, 'over', {float(r.over)!r}D)"
             for i, r in enumerate(rules)]
-    report = row.select("total", F.expr(f"explode(array({', '.join(made)}))").alias("r")).select(
-        *_finding(F.col("total"))) if rules else _no_findings(df)
+    if with_row_count:
+        made.insert(0, "named_struct('check', 'row_count', 'column', cast(null as string), 'rows', total, 'text', 'rows', "
+                       "'level', 'ok', 'over', 100.0D)")
+    if not made:
+        return _no_findings(df)
+    report = row.select("total", F.expr(f"explode(array({', '.join(made)}))").alias("r")).select(*_finding(F.col("total")))
     if not with_row_count:
         return report
-    total = F.count(F.lit(1))
-    counted = df.agg(total.alias("rows")).select(
-        F.lit("row_count").alias("check"), F.lit(None).cast("string").alias("column"),
-        F.when(F.col("rows") == 0, "error").when(F.col("rows") < 100, "warning").otherwise("ok").alias("severity"),
-        "rows", F.lit(100.0).alias("percent"), F.concat(F.format_number("rows", 0), F.lit(" rows")).alias("message"))
-    return counted.unionByName(report)
+    counted = F.col("check") == "row_count"
+    return report.withColumns({
+        "severity": F.when(counted & (F.col("rows") == 0), "error").when(counted & (F.col("rows") < 100), "warning")
+                    .otherwise(F.col("severity")),
+        "percent": F.when(counted, 100.0).otherwise(F.col("percent"))})
 
 
 def target_rules(df: DataFrame) -> list[Rule]:

@@ -23,8 +23,8 @@ from lateline.functions.expressions import quoted
 from lateline.session import kept, stage
 
 #: Most rows one window partition may hold.
-WINDOW_ROWS = 1_000_000
-_SAMPLE = 1024
+WINDOW_ROWS = 100_000
+_SAMPLE = 2048
 _SLOTS = 64
 _EQUAL_SLOTS = 1024
 
@@ -120,11 +120,15 @@ def _bracket_id(brackets: Sequence[Bracket], kind: T.DataType) -> Column:
     return chain
 
 
-def _sampled_slots(marked: DataFrame, kind: T.DataType) -> Column:
-    """Slots between splitters, which are every 16th of 1024 values in hash order."""
-    by_hash = Window.partitionBy("b").orderBy(F.xxhash64("value"), "value")
-    sample = (marked.withColumn("k", F.row_number().over(by_hash)).filter(F.col("k") <= _SAMPLE)
-              .groupBy("b").agg(F.array_sort(F.collect_list("value")).alias("values"))
+def _sampled_slots(marked: DataFrame, brackets: Sequence[Bracket], kind: T.DataType) -> Column:
+    """Slots between splitters from a sample of each bracket's values by hash, about ``_SAMPLE`` of them.
+
+    The share that is drawn follows from the known number of different values, so no task sorts
+    or holds more than the sample.
+    """
+    share = F.element_at(F.array(*[F.lit(min(1.0, _SAMPLE / max(b.distinct, 1))) for b in brackets]), F.col("b") + 1)
+    drawn = (F.xxhash64("value") / F.lit(float(1 << 63)) + 1) / 2 <= share
+    sample = (marked.filter(drawn).groupBy("b").agg(F.array_sort(F.collect_list("value")).alias("values"))
               .select("b", F.transform("values", lambda v: encode(v, kind)).alias("values")).collect())
     slot = None
     for row in sample:
@@ -154,7 +158,7 @@ def _spans_evenly(b: Bracket) -> bool:
 def _narrow(counts: DataFrame, brackets: list[Bracket], kind: T.DataType) -> list[Bracket]:
     marked = counts.withColumn("b", _bracket_id(brackets, kind)).filter(F.col("b").isNotNull())
     equal = all(_spans_evenly(b) for b in brackets)
-    slot = _equal_slots(brackets) if equal else _sampled_slots(marked, kind)
+    slot = _equal_slots(brackets) if equal else _sampled_slots(marked, brackets, kind)
     # At most brackets x slots rows.
     slots = (marked.withColumn("slot", slot).groupBy("b", "slot")
              .agg(F.sum("n").alias("rows"), F.count(F.lit(1)).alias("distinct"),
@@ -340,8 +344,9 @@ def left_of(cut: Cut, kinds: Mapping[str, T.DataType]) -> Column:
 def label_by_cuts(df: DataFrame, cuts: Sequence[Cut], labels: Sequence[str], column: str) -> DataFrame:
     """Label each row by the cuts it lies between.
 
-    Rows identical in every column cannot be told apart; where a cut falls inside
-    such a group the copies are counted and generated anew on both sides.
+    Rows that agree in every column of the order cannot be told apart; where a cut falls
+    inside such a group its rows are written once and numbered: by their place in a part,
+    behind the rows of the parts before.
     """
     kinds = {f.name: f.dataType for f in df.schema.fields}
     chain = None
@@ -362,22 +367,31 @@ def label_by_cuts(df: DataFrame, cuts: Sequence[Cut], labels: Sequence[str], col
         plain = plain.filter(~same)
     result = plain.withColumn(column, chain)
     for key, same in groups.items():
-        copies = df.filter(same).count()
         row_values = dict(key)
+        ties, number_of = _numbered(df.filter(same))
         copy_label = None
         for cut, label in zip(cuts, labels):
             if not cut.whole and tuple(cut.prefix) == key:
-                test = F.col("id") < cut.copies
+                test = number_of < cut.copies
             else:
                 test = F.lit(True) if cut.whole else _tuple_before(row_values, cut, kinds)
             copy_label = F.when(test, label) if copy_label is None else copy_label.when(test, label)
-        made = df.sparkSession.range(copies).select(
-            *[decode(row_values[f.name], f.dataType).alias(f.name) for f in df.schema.fields],
-            copy_label.otherwise(labels[-1]).alias(column))
-        result = result.unionByName(made)
+        result = result.unionByName(ties.withColumn(column, copy_label.otherwise(labels[-1])).select(*result.columns))
     return result
 
 
+def _numbered(df: DataFrame) -> tuple[DataFrame, Column]:
+    """The rows, written once, and a column that numbers them from 0 without a gap."""
+    written = stage(df.withColumn("_spot", F.monotonically_increasing_id()), "numbered")
+    part = F.shiftrightunsigned("_spot", 33)
+    before, starts = 0, []
+    for row in sorted(written.groupBy(part.alias("part")).count().collect()):  # one row a part written
+        starts += [F.lit(row["part"]), F.lit(before)]
+        before += row["count"]
+    inside = F.col("_spot").bitwiseAND((1 << 33) - 1)
+    return written, (F.create_map(*starts)[part] + inside if starts else inside)
+
+
 def _tuple_before(row: Mapping[str, Any], cut: Cut, kinds: Mapping[str, T.DataType]) -> Column:
     return _tuple_precedes([decode(row[n], kinds[n]) for n, _ in cut.prefix],
                            [decode(v, kinds[n]) for n, v in cut.prefix])

@@ -71,8 +71,8 @@ def random_split(df: DataFrame, seed: int = SEED, ratios: Sequence[float] = SPLI
                  column: str = SPLIT) -> DataFrame:
     """Exact sizes in the order of a seeded hash of the whole row."""
     mixed = df.withColumn("_mixed", F.xxhash64(F.lit(seed), *[quoted(c) for c in _sortable(df, [])]))
-    # A million leading values of the hash place the cuts; the full hash orders one of them.
-    mixed = mixed.withColumn("_leading", F.shiftright("_mixed", 44))
+    # 65,536 leading values of the hash place the cuts; the full hash orders one of them.
+    mixed = mixed.withColumn("_leading", F.shiftright("_mixed", 48))
     return ordered_split(mixed, ["_leading", "_mixed"], ratios, column).drop("_leading", "_mixed")
 
 

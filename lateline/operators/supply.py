@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from lateline.functions.expressions import quoted, ratio, round_half_even
 from lateline.operators.ranks import with_running_totals
 from lateline.operators.risk import alert_priority
+from lateline.session import stage
 
 # Cumulative value shares of the classes, delay bands and tiers.
 ABC_SHARES = {"A": 0.80, "B": 0.95}
@@ -36,7 +37,9 @@ def inventory_by_sku(df: DataFrame, sku: str, quantity: str, value: str) -> Data
 
 def abc_classes(inventory: DataFrame) -> DataFrame:
     """A, B or C by the share of value reached when SKUs are taken from the most valuable down."""
-    running = with_running_totals(inventory, [F.col("value").desc(), F.col("sku")], {"reached": F.col("value")})
+    inventory = stage(inventory, "inventory")  # the whole and the running sum both read it
+    running = with_running_totals(inventory, [F.col("value").desc(), F.col("sku")], {"reached": F.col("value")},
+                                  staged=True)
     whole = inventory.agg(F.sum("value").alias("whole")).first()["whole"]
     share = ratio(F.col("reached"), F.lit(whole))
     return running.select("sku", "quantity", "value", share.alias("cumulative_share"),

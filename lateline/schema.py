@@ -32,6 +32,7 @@ REQUIRED = [
     ITEM_PRICE, SALES, CATEGORY, PRICE, MARKET, REGION, COUNTRY, CITY, SEGMENT,
     ORDER_DATE, SHIP_DATE, ORDER_ID,
 ]
+# Columns that are standardised, and columns made numeric.
 CATEGORICALS = [SHIPPING_MODE, CATEGORY, MARKET, REGION, SEGMENT]
 NUMERICALS = [REAL_DAYS, SCHEDULED_DAYS, DISCOUNT, QUANTITY, ITEM_PRICE]
 
@@ -57,6 +58,7 @@ DOMAINS = {
     SEGMENT: ["Consumer", "Corporate", "Home Office"],
     MARKET: ["LATAM", "Europe", "Pacific Asia", "USCA", "Africa"],
 }
+# Accepted dates.
 DATE_RANGE = ("2010-01-01", "2030-01-01")
 
 # Personal data, internal keys and profit columns.
@@ -67,6 +69,7 @@ UNUSED = [
     "Product Category Id", "Department Id", "Customer Id", "Order Customer Id",
     "Product Image", "Order Profit Per Order", "Benefit per order",
 ]
+# Rows without these are dropped.
 CRITICAL = [TARGET, ORDER_ID]
 
 # How missing values are filled.
@@ -113,35 +116,66 @@ NON_FEATURES = [
     "Product Status", "Type",
 ]
 
+# Split ratios, edges of the risk bands, priorities of alerts, and gates of a model.
 SPLIT_RATIOS = (0.70, 0.15, 0.15)
 SPLITS = ("train", "validation", "test")
 RISK_BANDS = (0.3, 0.6)
 ALERT_PRIORITY = {"high": 1, "medium": 2, "low": 3}
 GATES = {"accuracy": 0.80, "recall": 0.75, "roc_auc": 0.80}
 
-
-def _columns(kind: T.DataType, names: str) -> dict[str, T.DataType]:
-    return {name.strip(): kind for name in names.split(",")}
-
-
-#: Types of the order-line columns as stored in CSV exports.
+# Types of the order-line columns as stored in CSV exports.
 COLUMN_TYPES: dict[str, T.DataType] = {
-    **_columns(T.StringType(), (
-        "Type, Delivery Status, Category Name, Customer City, Customer Country,"
-        "Customer Email, Customer Fname, Customer Lname, Customer Password,"
-        "Customer Segment, Customer State, Customer Street, Department Name, Market,"
-        "Order City, Order Country, Order Region, Order State, Order Status,"
-        "Product Description, Product Image, Product Name, Shipping Mode,"
-        "order date (DateOrders), shipping date (DateOrders)")),
-    **_columns(T.LongType(), (
-        "Category Id, Customer Id, Department Id, Order Customer Id, Order Id,"
-        "Order Item Cardprod Id, Order Item Id, Product Card Id, Product Category Id")),
-    **_columns(T.IntegerType(), (
-        "Days for shipping (real), Days for shipment (scheduled), Late_delivery_risk,"
-        "Product Status")),
-    **_columns(T.DoubleType(), (
-        "Benefit per order, Sales per customer, Customer Zipcode, Latitude, Longitude,"
-        "Order Item Discount, Order Item Discount Rate, Order Item Product Price,"
-        "Order Item Profit Ratio, Order Item Quantity, Sales, Order Item Total,"
-        "Order Profit Per Order, Order Zipcode, Product Price")),
+    "Type": T.StringType(),
+    "Delivery Status": T.StringType(),
+    "Category Name": T.StringType(),
+    "Customer City": T.StringType(),
+    "Customer Country": T.StringType(),
+    "Customer Email": T.StringType(),
+    "Customer Fname": T.StringType(),
+    "Customer Lname": T.StringType(),
+    "Customer Password": T.StringType(),
+    "Customer Segment": T.StringType(),
+    "Customer State": T.StringType(),
+    "Customer Street": T.StringType(),
+    "Department Name": T.StringType(),
+    "Market": T.StringType(),
+    "Order City": T.StringType(),
+    "Order Country": T.StringType(),
+    "Order Region": T.StringType(),
+    "Order State": T.StringType(),
+    "Order Status": T.StringType(),
+    "Product Description": T.StringType(),
+    "Product Image": T.StringType(),
+    "Product Name": T.StringType(),
+    "Shipping Mode": T.StringType(),
+    "order date (DateOrders)": T.StringType(),
+    "shipping date (DateOrders)": T.StringType(),
+    "Category Id": T.LongType(),
+    "Customer Id": T.LongType(),
+    "Department Id": T.LongType(),
+    "Order Customer Id": T.LongType(),
+    "Order Id": T.LongType(),
+    "Order Item Cardprod Id": T.LongType(),
+    "Order Item Id": T.LongType(),
+    "Product Card Id": T.LongType(),
+    "Product Category Id": T.LongType(),
+    "Days for shipping (real)": T.IntegerType(),
+    "Days for shipment (scheduled)": T.IntegerType(),
+    "Late_delivery_risk": T.IntegerType(),
+    "Product Status": T.IntegerType(),
+    "Benefit per order": T.DoubleType(),
+    "Sales per customer": T.DoubleType(),
+    "Customer Zipcode": T.DoubleType(),
+    "Latitude": T.DoubleType(),
+    "Longitude": T.DoubleType(),
+    "Order Item Discount": T.DoubleType(),
+    "Order Item Discount Rate": T.DoubleType(),
+    "Order Item Product Price": T.DoubleType(),
+    "Order Item Profit Ratio": T.DoubleType(),
+    "Order Item Quantity": T.DoubleType(),
+    "Sales": T.DoubleType(),
+    "Order Item Total": T.DoubleType(),
+    "Order Profit Per Order": T.DoubleType(),
+    "Order Zipcode": T.DoubleType(),
+    "Product Price": T.DoubleType(),
 }

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import threading
 import uuid
 from collections.abc import Callable, Iterator
 from concurrent.futures import ThreadPoolExecutor
@@ -12,6 +13,8 @@ from pyspark import StorageLevel, inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 
 _fallback: dict[str, str] = {}
+#: By thread: the staged tables of each job that it runs.
+_jobs: dict[int, list[list[str]]] = {}
 
 
 def local_session(cpus: int = 8, name: str = "lateline", **settings: str) -> SparkSession:
@@ -37,13 +40,15 @@ def local_session(cpus: int = 8, name: str = "lateline", **settings: str) -> Spa
 def shared_folder(spark: SparkSession) -> str:
     """Folder every executor can reach, named by ``spark.checkpoint.dir``.
 
-    Only a session that names none, such as a test on one machine, gets a
-    temporary folder of its own.
+    Only a session on one machine that names none, such as a test, gets a temporary
+    folder of its own; on a cluster a missing setting is an error.
     """
     named = spark.conf.get("spark.checkpoint.dir", None)
     if named:
         return named.rstrip("/")
     context = spark.sparkContext
+    if not context.master.startswith("local") or context.master.startswith("local-cluster"):
+        raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
     if context.applicationId not in _fallback:
         folder = tempfile.mkdtemp(prefix="lateline-")
         context.setCheckpointDir(folder)
@@ -58,10 +63,28 @@ def stage(df: DataFrame, label: str) -> DataFrame:
     and later readers still prune columns and skip row groups.
     """
     path = f"{shared_folder(df.sparkSession)}/{label}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    df.write.option("compression", "zstd").parquet(path)
+    for paths in _jobs.get(threading.get_ident(), []):
+        paths.append(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+@contextmanager
+def job(spark: SparkSession) -> Iterator[None]:
+    """Delete the tables that ``stage`` writes inside, when the job ends. What it returns must not read them."""
+    paths: list[str] = []
+    own = _jobs.setdefault(threading.get_ident(), [])
+    own.append(paths)
+    try:
+        yield
+    finally:
+        own.remove(paths)
+        java = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+        for path in paths:
+            there = java(path)
+            there.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(there, True)
+
+
 @contextmanager
 def kept(df: DataFrame) -> Iterator[DataFrame]:
     """Keep rows in memory or on disk while several small jobs read them."""
@@ -77,5 +100,11 @@ def together(*tasks: Callable[[], object]) -> list:
     if len(tasks) < 2:
         return [task() for task in tasks]
     inherit = inheritable_thread_target(SparkSession.getActiveSession())
+    own = _jobs.get(threading.get_ident(), [])
+
+    def within(task: Callable[[], object]) -> object:
+        _jobs[threading.get_ident()] = list(own)
+        return task()
+
     with ThreadPoolExecutor(len(tasks)) as pool:
-        return [done.result() for done in [pool.submit(inherit(task)) for task in tasks]]
+        return [done.result() for done in [pool.submit(inherit(within), task) for task in tasks]]

@@ -7,12 +7,12 @@ import io
 from collections.abc import Mapping, Sequence
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from lateline.functions.expressions import quoted
-from lateline.schema import COLUMN_TYPES, DATE_COLUMNS, SEED
+from lateline.schema import COLUMN_TYPES, DATE_COLUMNS, ORDER_ID, SEED
 
 DATE_FORMAT = "M/d/yyyy H:mm"
 # Spellings of a missing value.
@@ -34,8 +34,15 @@ def _lines(spark: SparkSession, path: str) -> DataFrame:
 
 def detect_encoding(spark: SparkSession, path: str) -> str:
     """UTF-8 when every line is valid UTF-8, else Latin-1, which reads any byte."""
-    invalid = _lines(spark, path).filter(~F.is_valid_utf8("value")).limit(1)
-    return "UTF-8" if invalid.isEmpty() else "ISO-8859-1"
+    return inspect(spark, path)[0]
+
+
+def inspect(spark: SparkSession, path: str) -> tuple[str, bool]:
+    """Encoding, and whether a quoted value may hold a line break: a line with an odd number of quotes. One pass."""
+    quotes = F.length("value") - F.length(F.replace("value", F.lit('"'), F.lit("")))
+    row = _lines(spark, path).agg(F.coalesce(F.bool_and(F.is_valid_utf8("value")), F.lit(True)).alias("valid"),
+                                  F.coalesce(F.bool_or(quotes % 2 == 1), F.lit(False)).alias("broken")).first()
+    return "UTF-8" if row["valid"] else "ISO-8859-1", row["broken"]
 
 
 def _header(spark: SparkSession, path: str, delimiter: str | None, encoding: str) -> tuple[list[str], str]:
@@ -52,55 +59,103 @@ def detect_delimiter(header: str) -> str:
     return max(DELIMITERS, key=header.count) if any(d in header for d in DELIMITERS) else ","
 
 
+def _typed(text: Column, kind: T.DataType) -> Column:
+    """The value of a text in a type, null if it has none. Whole numbers may be written with a decimal point."""
+    if isinstance(kind, T.DoubleType):
+        value = text.try_cast("double")
+        return F.when(~F.isnan(value), value)
+    if isinstance(kind, T.IntegralType):
+        value = text.try_cast("double")
+        return F.coalesce(text.try_cast(kind), F.when(value == F.floor(value), value.try_cast(kind)))
+    if isinstance(kind, T.TimestampType):
+        return F.coalesce(F.try_to_timestamp(text, F.lit(DATE_FORMAT)), F.try_to_timestamp(text))
+    return text
+
+
+def _unreadable(text: Column, kind: T.DataType) -> Column:
+    return F.count_if(text.isNotNull() & _typed(text, kind).isNull())
+
+
 def read_csv(spark: SparkSession, path: str, columns: Sequence[str] | None = None, parse_dates: bool = True,
              encoding: str | None = None, delimiter: str | None = ",", rename: Mapping[str, str] | None = None,
-             infer_unknown: bool = True) -> DataFrame:
-    """Order lines from CSV files with a header.
-
-    Known columns get their stored type without a pass over the data; values that
-    do not fit it become null. Pass ``encoding`` to skip the detection pass,
-    ``delimiter=None`` to detect the delimiter, ``rename`` to map other names.
+             infer_unknown: bool = True, unreadable: str = "error", multi_line: bool | None = None) -> DataFrame:
+    """Order lines from CSV files with a header; nothing is lost without a word.
+
+    Every value is read as text (quotes doubled inside quotes, line breaks inside quotes)
+    and then typed. One pass over the columns asked for counts the values that their
+    type can't hold: above zero that is an error, or with ``unreadable="null"`` they become
+    null. The same pass keeps order ids as text unless all are whole numbers, and with
+    ``infer_unknown`` makes unknown columns of numbers numeric.
+
+    Another pass finds the encoding and line breaks inside quotes; pass ``encoding`` and
+    ``multi_line`` to skip it (files with such breaks can't be read in parts), ``delimiter=None`` to
+    detect the delimiter, ``rename`` to map other names.
     """
+    if unreadable not in ("error", "null"):
+        raise ValueError(f"unreadable must be error or null, not {unreadable!r}")
     _lines(spark, path)
-    encoding = encoding or detect_encoding(spark, path)
+    if encoding is None or multi_line is None:
+        found = inspect(spark, path)
+        encoding, multi_line = encoding or found[0], found[1] if multi_line is None else multi_line
     names, delimiter = _header(spark, path, delimiter, encoding)
     standard = [(rename or {}).get(n, n) for n in names]
-    reader = spark.read.option("header", True).option("sep", delimiter).option("encoding", encoding)
-    unknown = [s for s in standard if s not in COLUMN_TYPES and (not columns or s in columns)]
-    inferred = {}
-    if unknown and infer_unknown:
-        guess = reader.option("inferSchema", True).csv(path).schema
-        inferred = {s: f.dataType for s, f in zip(standard, guess.fields)}
-    kinds = {s: COLUMN_TYPES.get(s, inferred.get(s, T.StringType())) for s in standard}
-    df = reader.option("inferSchema", False).schema(
-        T.StructType([T.StructField(s, kinds[s]) for s in standard])).csv(path)
-    if columns:
-        absent = [c for c in columns if c not in standard]
-        if absent:
-            raise ValueError(f"columns not in file: {absent}")
-        df = df.select(*[quoted(c) for c in columns])
-    tidy = {}
-    for c in df.columns:
-        if isinstance(kinds[c], T.StringType):
-            tidy[c] = F.when(~quoted(c).isin(MISSING), quoted(c))
-            if parse_dates and c in DATE_COLUMNS:
-                tidy[c] = F.coalesce(F.try_to_timestamp(quoted(c), F.lit(DATE_FORMAT)), F.try_to_timestamp(quoted(c)))
-        elif isinstance(kinds[c], T.DoubleType):
-            tidy[c] = F.when(~F.isnan(quoted(c)), quoted(c))
-    return df.withColumns(tidy) if tidy else df
+    absent = [c for c in columns or () if c not in standard]
+    if absent:
+        raise ValueError(f"columns not in file: {absent}")
+    df = spark.read.options(header=True, sep=delimiter, encoding=encoding, quote='"', escape='"', multiLine=multi_line).schema(
+        T.StructType([T.StructField(s, T.StringType()) for s in standard])).csv(path)
+    df = df.select(*[F.when(~quoted(c).isin(MISSING), quoted(c)).alias(c) for c in (columns or standard)])
+
+    kinds = {c: COLUMN_TYPES.get(c, T.StringType()) for c in df.columns}
+    if parse_dates:
+        kinds.update({c: T.TimestampType() for c in DATE_COLUMNS if c in kinds})
+    open_kinds = [c for c in df.columns if c == ORDER_ID or infer_unknown and c not in COLUMN_TYPES]
+    typed = [c for c in df.columns if c not in open_kinds and not isinstance(kinds[c], T.StringType)]
+    counts = [_unreadable(quoted(c), kinds[c]).alias(f"bad{i}") for i, c in enumerate(typed) if unreadable == "error"]
+    counts += [_unreadable(quoted(c), k).alias(f"{n}{i}") for i, c in enumerate(open_kinds)
+               for n, k in (("long", T.LongType()), ("double", T.DoubleType()))]
+    counts += [F.count(quoted(c)).alias(f"some{i}") for i, c in enumerate(open_kinds)]
+    row = df.agg(*counts).first() if counts else {}
+    bad = {c: row[f"bad{i}"] for i, c in enumerate(typed) if unreadable == "error" and row[f"bad{i}"]}
+    if bad:
+        raise ValueError(f"values that can't be read, by column: {bad}; unreadable='null' makes them null")
+    for i, c in enumerate(open_kinds):
+        kinds[c] = T.StringType()
+        if row[f"some{i}"] and not row[f"long{i}"]:
+            kinds[c] = T.LongType()
+        elif row[f"some{i}"] and not row[f"double{i}"] and c != ORDER_ID:
+            kinds[c] = T.DoubleType()
+    return df.withColumns({c: _typed(quoted(c), kinds[c]) for c in df.columns if not isinstance(kinds[c], T.StringType)})
+
+
+def unreadable_values(df: DataFrame) -> DataFrame:
+    """For a table read as text: ``column`` and ``rows`` of the values that the column's type can't hold, where there are any."""
+    kinds = {c: T.TimestampType() if c in DATE_COLUMNS else COLUMN_TYPES[c] for c in df.columns if c in COLUMN_TYPES}
+    kinds = {c: k for c, k in kinds.items() if not isinstance(k, T.StringType) and c != ORDER_ID}
+    if not kinds:
+        return df.sparkSession.createDataFrame([], "column string, rows long")
+    text = {c: F.when(~quoted(c).cast("string").isin(MISSING), quoted(c).cast("string")) for c in kinds}
+    counted = df.agg(*[_unreadable(text[c], k).alias(f"bad{i}") for i, (c, k) in enumerate(kinds.items())])
+    pairs = F.array(*[F.struct(F.lit(c).alias("column"), F.col(f"bad{i}").alias("rows")) for i, c in enumerate(kinds)])
+    return counted.select(F.explode(pairs).alias("p")).select("p.column", "p.rows").filter("rows > 0")
 
 
 def discover_csv(spark: SparkSession, folder: str) -> str:
     """Path of the main CSV table in a folder: the first with a preferred name, else the first.
 
-    A table is a file, or a folder of part files, whose name ends in ``.csv``.
+    A table is a file, or a folder of part files, whose name ends in ``.csv``. Other
+    folders are not searched.
     """
-    try:
-        files = (spark.read.format("binaryFile").option("pathGlobFilter", "*.csv")
-                 .option("recursiveFileLookup", True).load(folder))
-    except AnalysisException as problem:
-        raise FileNotFoundError(f"no CSV files in {folder}") from problem
-    found = files.select(F.regexp_extract("path", r"^(.*?/[^/]+\.csv)(/|$)", 1).alias("path"))
+    found = None
+    for level in ("*.csv", "*.csv/*.csv"):
+        try:
+            files = spark.read.format("binaryFile").load(f"{folder}/{level}").select("path")
+        except AnalysisException:
+            continue
+        found = files if found is None else found.union(files)
+    if found is None:
+        raise FileNotFoundError(f"no CSV files in {folder}")
+    found = found.select(F.regexp_extract("path", r"^(.*?/[^/]+\.csv)(/|$)", 1).alias("path"))
     name = F.regexp_extract("path", r"([^/]+)$", 1)
     preferred = F.lit(False)
     for pattern in PREFERRED:

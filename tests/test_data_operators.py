@@ -63,7 +63,7 @@ def test_negative_value_warns_twice_and_quote_in_names(spark):
 
 def test_ship_before_order_and_text_dates(spark, order_lines):
     early = order_lines.withColumn(SHIP_DATE, F.when(
-        quoted(ORDER_ID) == "ORD-00000", quoted(ORDER_DATE) - F.expr("interval 5 days")).otherwise(quoted(SHIP_DATE)))
+        quoted(ORDER_ID) == "ln-0000", quoted(ORDER_DATE) - F.expr("interval 5 days")).otherwise(quoted(SHIP_DATE)))
     assert {r["check"]: r["rows"] for r in quality.consistency_check(early).collect()}["shipped_before_ordered"] == 1
     text = order_lines.withColumn(ORDER_DATE, quoted(ORDER_DATE).cast("string"))
     assert severities(quality.date_check(text))[("date_type", ORDER_DATE)] == "warning"
@@ -179,21 +179,18 @@ def test_codes_follow_first_appearance(spark):
     assert {r[MARKET]: r["market_encoded"] for r in table.collect()} == {"z": 0, "m": 1, "a": 2, "n": 3}
 
 
-@pytest.mark.parametrize("literal,broadcast", [(0, 100_000), (0, 0)])
-def test_lookup_strategies_agree(spark, order_lines, literal, broadcast, monkeypatch):
+def test_lookup_strategies_agree(spark, order_lines, monkeypatch):
     expected = features.FeatureBuilder(drop_non_features=False).fit_transform(order_lines)[0]
     columns = [ORDER_ID, "region_order_frequency", "market_encoded", "order_region_encoded", "category_name_encoded"]
     want = expected.select(*[quoted(c) for c in columns]).collect()
-    monkeypatch.setattr(features, "LITERAL_ROWS", literal)
-    monkeypatch.setattr(features, "BROADCAST_ROWS", broadcast)
+    monkeypatch.setattr(features, "LITERAL_ROWS", 0)
     got = features.FeatureBuilder(drop_non_features=False).fit_transform(order_lines)[0]
     assert sorted(got.select(*[quoted(c) for c in columns]).collect()) == sorted(want)
 
 
-def test_too_many_one_hot_columns_is_an_error(spark, order_lines, monkeypatch):
-    monkeypatch.setattr(features, "ONE_HOT_COLUMNS", 2)
+def test_one_hot_limit_is_an_option(order_lines):
     with pytest.raises(ValueError):
-        features.FeatureBuilder().fit(order_lines)
+        features.FeatureBuilder(one_hot_limit=2).fit(order_lines)
 
 
 def test_feature_table_and_round_trip(spark, order_lines, tmp_path):
@@ -258,7 +255,9 @@ def test_csv_types_encoding_and_missing_marks(spark, tmp_path):
     path = tmp_path / "a supply file.csv"
     path.write_bytes("Order Id,Sales,Market,order date (DateOrders),col1\n7,NaN,NA,1/31/2018 22:56,3\n8,2.5,Perú,bad,4\n"
                      .encode("latin-1"))
-    rows = csv.read_csv(spark, str(path)).collect()
+    with pytest.raises(ValueError, match="order date"):
+        csv.read_csv(spark, str(path))
+    rows = csv.read_csv(spark, str(path), unreadable="null").collect()
     assert rows[0].asDict() == {"Order Id": 7, "Sales": None, "Market": None, "order date (DateOrders)":
                                 dt.datetime(2018, 1, 31, 22, 56), "col1": 3}
     assert rows[1]["Market"] == "Perú" and rows[1][ORDER_DATE] is None
@@ -267,6 +266,54 @@ def test_csv_types_encoding_and_missing_marks(spark, tmp_path):
         csv.read_csv(spark, str(path), columns=["absent"])
 
 
+def test_csv_keeps_text_ids_quotes_and_line_breaks(spark, tmp_path):
+    path = tmp_path / "lines.csv"
+    path.write_text('Order Id,Days for shipping (real),Late_delivery_risk,Product Name,Sales\n'
+                    'A-00001,3.0,1.0,"say ""hi"", then","1,5"\n'
+                    'A-00002, 4 ,0,"two\nlines \\",2.5\n7,5,1,plain,\n')
+    with pytest.raises(ValueError, match="Sales"):
+        csv.read_csv(spark, str(path))
+    rows = csv.read_csv(spark, str(path), unreadable="null").collect()
+    assert [tuple(r) for r in rows] == [("A-00001", 3, 1, 'say "hi", then', None), ("A-00002", 4, 0, "two\nlines \\", 2.5),
+                                        ("7", 5, 1, "plain", None)]
+    table = spark.createDataFrame([("x", "1"), ("3.5", "2")], "Late_delivery_risk string, Sales string")
+    assert [tuple(r) for r in csv.unreadable_values(table).collect()] == [("Late_delivery_risk", 2)]
+
+
+def test_cleaning_a_file_with_text_ids_loses_no_row(spark, order_lines, tmp_path):
+    order_lines.withColumns({c: F.date_format(c, csv.DATE_FORMAT) for c in (ORDER_DATE, SHIP_DATE)}).write.option(
+        "header", True).option("escape", '"').csv(str(tmp_path / "lines.csv"))
+    read = csv.read_csv(spark, str(tmp_path / "lines.csv"))
+    assert read.count() == order_lines.count() and dict(read.dtypes)[ORDER_ID] == "string"
+    assert cleaning.clean(read)[0].count() == order_lines.distinct().count()
+
+
+def test_stored_cleaning_covers_columns_clean_at_fit(spark, order_lines):
+    model = cleaning.Cleaner().fit(order_lines)
+    gaps = order_lines.limit(4).withColumns({"Shipping Mode": F.lit(None).cast("string"), "Sales": F.lit(None).cast("double"),
+                                             "Order Item Quantity": F.lit(9_999)})
+    rows = model.transform(gaps).collect()
+    mode = order_lines.groupBy("Shipping Mode").count().orderBy(F.desc("count"), "Shipping Mode").first()[0]
+    assert {r["Shipping Mode"] for r in rows} == {mode}
+    assert {r["Sales"] for r in rows} == {order_lines.agg(F.median("Sales")).first()[0]}
+    assert max(r["Order Item Quantity"] for r in rows) <= order_lines.agg(F.max("Order Item Quantity")).first()[0]
+
+
+def test_discovery_stays_in_the_folder(spark, tmp_path):
+    (tmp_path / "archive").mkdir()
+    (tmp_path / "archive" / "supply.csv").write_text("col1\n1\n")
+    (tmp_path / "z.csv").write_text("col1\n1\n")
+    assert csv.discover_csv(spark, str(tmp_path)).endswith("/z.csv")
+
+
+def test_csv_splits_round_trip(spark, order_lines, tmp_path):
+    table = splitting.time_split(order_lines)
+    tables.write_splits(table, str(tmp_path / "c"), form="csv")
+    back = tables.read_splits(spark, str(tmp_path / "c"))
+    assert dict(back.dtypes) == dict(table.dtypes)
+    assert sorted(map(str, back.select(*table.columns).collect())) == sorted(map(str, table.collect()))
+
+
 def test_discovery_prefers_the_main_table(spark, tmp_path):
     for name in ("a.csv", "MySupply.csv", "z.csv"):
         (tmp_path / name).write_text("col1,col2\n1,2\n3,4\n")
@@ -277,7 +324,7 @@ def test_discovery_prefers_the_main_table(spark, tmp_path):
 def test_samples_have_exact_sizes(order_lines):
     assert csv.random_sample(order_lines, 17).count() == 17
     assert csv.random_sample(order_lines, 500).count() == 100
-    assert csv.head_sample(order_lines, 3, [ORDER_ID]).first()[ORDER_ID] == "ORD-00000"
+    assert csv.head_sample(order_lines, 3, [ORDER_ID]).first()[ORDER_ID] == "ln-0000"
 
 
 def test_profile_and_narrowing(spark):
