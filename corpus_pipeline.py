@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from lateline.functions.expressions import quoted
 from lateline.llm import language_id, line_dedup, mixing, ngram_join, packing
 from lateline.llm.shipping import ship
 from lateline.session import stage
@@ -19,20 +20,20 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
     """Documents in a language of the corpus; what fits several languages alike or has no letter goes."""
     ship(spark)
     model = language_id.learn(docs)
-    return language_id.identify(docs, model).filter("accepted").select(*docs.columns)
+    return language_id.identify(docs, model).filter("accepted").select(*map(quoted, docs.columns))
 
 
 def drop_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without lines of recurring templates; one of such lines alone goes."""
     left = line_dedup.drop_recurring_lines(docs).filter(
-        ~((F.col("__dropped") > 0) & (F.trim("text") == ""))).select(*docs.columns)
+        ~((F.col("__dropped") > 0) & (F.trim("text") == ""))).select(*map(quoted, docs.columns))
     return _sized(left)
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each class of similar ones."""
     ship(spark)
-    return ngram_join.one_of_each(docs).select(*docs.columns)
+    return ngram_join.one_of_each(docs).select(*map(quoted, docs.columns))
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
