@@ -11,6 +11,7 @@ import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from lateline.functions.expressions import quoted
 from lateline.llm.spans import slices, texts
 
 UNKNOWN = "und"
@@ -79,9 +80,10 @@ def identify(docs: DataFrame, model: LanguageModel, text_column: str = "text", m
     shared = docs.sparkSession.sparkContext.broadcast((model.languages, model.dictionaries))
     added = ["lang_pred", "score", "margin", "accepted"]
     kept = [c for c in docs.columns if c not in added]
-    inner = docs.select(*[F.col(c) for c in kept], F.lower(F.col(text_column)).alias("__text"),
+    plain = [f"c{k}" for k in range(len(kept))]  # functions over batches can't take every name
+    inner = docs.select(*[quoted(c).alias(n) for c, n in zip(kept, plain)], F.lower(F.col(text_column)).alias("__text"),
                         F.coalesce(F.col(text_column).rlike(r"\p{L}"), F.lit(False)).alias("__letters"))
-    schema = docs.select(*kept).schema.add("lang_pred", "string").add("score", "double").add(
+    schema = docs.select(*map(quoted, kept)).toDF(*plain).schema.add("lang_pred", "string").add("score", "double").add(
         "margin", "double").add("accepted", "boolean")
 
     def label(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -103,13 +105,13 @@ def identify(docs: DataFrame, model: LanguageModel, text_column: str = "text", m
                 known = letters & bool(languages)
                 margin = np.where(known, (others - least) / np.maximum(least, 1), 0.0)
                 score = 1 / np.exp((least[:, None] - sizes) * 8 * np.log(2) * _TRUST).sum(axis=1)
-                columns = [part.column(c) for c in kept]
+                columns = [part.column(c) for c in plain]
                 columns += [pa.array([languages[b] if k else UNKNOWN for b, k in zip(best, known)], pa.string()),
                             pa.array(np.where(known, score, 0.0)), pa.array(margin),
                             pa.array(known & (margin >= min_margin))]
-                yield pa.RecordBatch.from_arrays(columns, [*kept, *added])
+                yield pa.RecordBatch.from_arrays(columns, [*plain, *added])
 
-    return inner.mapInArrow(label, schema)
+    return inner.mapInArrow(label, schema).toDF(*kept, *added)
 
 
 def _compressor(dictionary: bytes) -> zstandard.ZstdCompressor:

@@ -7,6 +7,8 @@ from collections.abc import Mapping
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from lateline.functions.expressions import quoted
+
 _WORD = r"[^\x20\x09-\x0D]+"
 #: Rows that one slice of a source's hash range has on average.
 SLICE_ROWS = 5_000
@@ -69,7 +71,7 @@ def mix(docs: DataFrame, weights: Mapping[str | None, float] | None = None, shar
     key = F.md5(F.concat(F.lit(seed), F.coalesce(F.col(id_column).cast("string"), F.lit(""))))
     rows = docs.select(
         F.col(id_column).alias("_id"), F.col(source_column).alias("_source"), word_count(F.col(text_column)).alias("size"),
-        key.alias("_key"), F.xxhash64(text_column).alias("_tie"), *[F.col(c).alias(f"_carry_{c}") for c in carry])
+        key.alias("_key"), F.xxhash64(text_column).alias("_tie"), *[quoted(c).alias(f"_carry_{c}") for c in carry])
     known = rows.groupBy("_source").agg(F.sum("size").alias("words"), F.count(F.lit(1)).alias("rows")).collect()
     sizes = {r["_source"]: r["words"] for r in known}
     weights = weights or cyclic_weights(list(sizes))
@@ -95,7 +97,7 @@ def mix(docs: DataFrame, weights: Mapping[str | None, float] | None = None, shar
     return placed.select(
         F.col("_id").alias(id_column), F.col("_source").alias(source_column), "size", "source_size", "target",
         F.when(F.col("size") > 0, whole).otherwise(F.lit(0)).alias("epochs"), part.alias("part"),
-        (whole * F.col("size") + part).alias("taken"), *[F.col(f"_carry_{c}").alias(c) for c in carry])
+        (whole * F.col("size") + part).alias("taken"), *[quoted(f"_carry_{c}").alias(c) for c in carry])
 
 
 def mixed_documents(docs: DataFrame, weights: Mapping[str | None, float] | None = None, share: float = 1.5,
@@ -106,7 +108,7 @@ def mixed_documents(docs: DataFrame, weights: Mapping[str | None, float] | None
     Columns are those of the input, whatever their names. Rows without words are no part of a mix by words.
     """
     rows = docs.select(*[F.col(c).alias(n) for c, n in ((id_column, "id"), (text_column, "text"), (source_column, "source"))],
-                       F.struct(*docs.columns).alias("row"))
+                       F.struct(*map(quoted, docs.columns)).alias("row"))
     taken = mix(rows, weights, share, most, "id", "text", "source", carry=("row",))
     times = F.col("epochs") + (F.col("part") > 0).cast("long")
     copies = taken.filter(times > 0).withColumn("copy", F.explode(F.sequence(F.lit(1).cast("long"), times)))

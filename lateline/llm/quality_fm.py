@@ -10,6 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from lateline.functions.expressions import quoted
 from lateline.llm.spans import Texts, slices, span_hashes, texts, words
 
 #: Buckets of hashed words, factors of each feature.
@@ -198,13 +199,16 @@ def score(docs: DataFrame, machine: Machine, keep: list[str], text_column: str =
     Every row with its whole text is scored, null text as an empty one.
     """
     shared = docs.sparkSession.sparkContext.broadcast(machine)
-    schema = docs.select(*keep).schema.add("score", "double")
+    plain = [f"c{k}" for k in range(len(keep))]  # functions over batches can't take every name
+    schema = docs.select(*map(quoted, keep)).toDF(*plain).schema.add("score", "double")
 
     def rate(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in slices(batch, "__text"):
                 x = features(texts(part.column("__text")), part.column("__number").to_numpy())
-                columns = [part.column(c) for c in keep] + [pa.array(shared.value.probabilities(x))]
-                yield pa.RecordBatch.from_arrays(columns, [*keep, "score"])
+                columns = [part.column(c) for c in plain] + [pa.array(shared.value.probabilities(x))]
+                yield pa.RecordBatch.from_arrays(columns, [*plain, "score"])
 
-    return _inputs(docs, text_column, metadata_column).select(*keep, "__text", "__number").mapInArrow(rate, schema)
+    inner = _inputs(docs, text_column, metadata_column).select(
+        *[quoted(c).alias(n) for c, n in zip(keep, plain)], "__text", "__number")
+    return inner.mapInArrow(rate, schema).toDF(*keep, "score")
