@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from lateline.functions.expressions import quoted
 from lateline.session import stage
 
 #: Leading tokens that are levels of the tree, below the level of the token count.
@@ -13,20 +14,23 @@ DEPTH = 3
 MIN_DOCS = 4
 #: Share of a template's tokens that must be constant.
 CONSTANT_SHARE = 0.7
-_SPACES = r"[\x20\x09\x0B-\x0D]+"
+#: Runs of white space other than a single blank.
+_SPACES = r"[\x09\x0B-\x0D][\x20\x09\x0B-\x0D]*|\x20[\x20\x09\x0B-\x0D]+"
+_SOLID = r"[^\x20\x09\x0B-\x0D]"
 _VARIABLE = r"[^ ]*[0-9][^ ]*"
 WILDCARD = "<*>"
 
 
 def _tokens(line: Column) -> Column:
     """Tokens apart by one blank; those with a digit are variable fields."""
-    return F.regexp_replace(F.trim(F.regexp_replace(line, _SPACES, " ")), _VARIABLE, WILDCARD)
+    apart = F.trim(F.regexp_replace(line, _SPACES, " "))
+    return F.when(apart.rlike("[0-9]"), F.regexp_replace(apart, _VARIABLE, WILDCARD)).otherwise(apart)
 
 
 def recurring_lines(docs: DataFrame, depth: int = DEPTH, min_docs: int = MIN_DOCS,
                     constant_share: float = CONSTANT_SHARE, id_column: str = "doc_id",
                     text_column: str = "text") -> DataFrame:
-    """Lines to drop: ``doc_id``, ``text_hash``, ``line_no`` and ``template`` of each.
+    """Lines to drop: ``doc_id``, ``text_hash``, ``line_no`` and a hash of the template of each.
 
     A line's token count and its first ``depth`` tokens lead to a leaf. In a leaf, a token
     that at least ``min_docs`` documents have at its position is constant; others, and
@@ -37,40 +41,44 @@ def recurring_lines(docs: DataFrame, depth: int = DEPTH, min_docs: int = MIN_DOC
 
     Identical lines are counted together before anything is joined, so a line that a
     third of all documents have is one row there. Lines in leaves of fewer documents
-    than ``min_docs`` can't recur and go no further. What remains is written once.
+    than ``min_docs`` can't recur and go no further. What remains is written once. Lines and
+    templates are told apart by 128 bits, leaves by 64.
 
     Rows with the same identifier and text count as one document. A null text or blank line
     has no tokens and is never dropped; null identifiers are last in the order.
     """
-    rows = docs.select(
-        F.col(id_column).alias("doc_id"), F.xxhash64(text_column).alias("text_hash"),
-        F.posexplode(F.split(text_column, "\n")).alias("line_no", "line")).select(
-        "doc_id", "text_hash", "line_no", _tokens(F.col("line")).alias("tokens")).filter("tokens != ''")
+    # The hash comes before the lines are spread, and the test for blank lines reads the raw line,
+    # so that whole texts and rewritten lines are not worked on again for each line.
+    texts = docs.select(F.col(id_column).alias("doc_id"), F.xxhash64(text_column).alias("text_hash"),
+                        F.split(text_column, "\n").alias("lines"))
+    rows = texts.select("doc_id", "text_hash", F.posexplode("lines").alias("line_no", "line")).filter(
+        F.col("line").rlike(_SOLID)).select("doc_id", "text_hash", "line_no", _tokens(F.col("line")).alias("tokens"))
     length = F.length("tokens") - F.length(F.replace("tokens", F.lit(" "), F.lit(""))) + 1
-    lines = rows.select("*", length.alias("n"), F.substring_index("tokens", " ", depth).alias("lead"))
-    leaves = lines.select("n", "lead", "doc_id", "text_hash").distinct().groupBy("n", "lead").count().filter(
+    lines = rows.withColumn("n", length).withColumn("leaf", F.xxhash64("n", F.substring_index("tokens", " ", depth)))
+    leaves = lines.select("leaf", "doc_id", "text_hash").distinct().groupBy("leaf").count().filter(
         F.col("count") >= min_docs).drop("count")
-    held = stage(lines.join(leaves, ["n", "lead"]), "lines")
-
-    leaf = ["n", "lead"]
-    different = held.select(*leaf, "tokens", "doc_id", "text_hash").distinct().groupBy(*leaf, "tokens").agg(
-        F.count(F.lit(1)).alias("docs"))
-    spread = different.select(*leaf, "tokens", "docs", F.posexplode(F.split("tokens", " ")).alias("at", "token"))
-    support = spread.groupBy(*leaf, "at", "token").agg(F.sum("docs").alias("support"))
-    constant = (F.col("support") >= min_docs) & (F.col("token") != WILDCARD)
-    fields = spread.join(support, [*leaf, "at", "token"]).select(
-        *leaf, "tokens", F.struct("at", F.when(constant, F.col("token")).otherwise(WILDCARD).alias("token")).alias("field"),
-        constant.cast("int").alias("constant"))
-    templates = fields.groupBy(*leaf, "tokens").agg(
-        F.concat_ws(" ", F.transform(F.sort_array(F.collect_list("field")), lambda x: x["token"])).alias("template"),
-        F.sum("constant").alias("constants")).filter(F.col("constants") >= constant_share * F.col("n"))
-    matched = stage(held.join(templates.drop("constants"), [*leaf, "tokens"]).select(
-        "doc_id", "text_hash", "line_no", "template"), "templates")
+    held = stage(lines.join(leaves, "leaf").select(
+        "*", F.xxhash64("tokens").alias("h1"), F.xxhash64(F.lit(1), "tokens").alias("h2")), "lines")
+
+    line = ["leaf", "n", "h1", "h2"]
+    documents = held.select(*line, "doc_id", "text_hash").distinct().groupBy(*line).agg(F.count(F.lit(1)).alias("docs"))
+    different = held.select(*line, "tokens").distinct().join(documents, line)
+    spread = different.select(*line, "docs", F.posexplode(F.split("tokens", " ")).alias("at", "token")).filter(
+        F.col("token") != WILDCARD)
+    constants = spread.groupBy("leaf", "at", "token").agg(F.sum("docs").alias("support")).filter(
+        F.col("support") >= min_docs).drop("support")
+    templates = spread.join(constants, ["leaf", "at", "token"]).groupBy(*line).agg(
+        F.sort_array(F.collect_list(F.struct("at", "token"))).alias("constant")).filter(
+        F.size("constant") >= constant_share * F.col("n")).select(
+        "h1", "h2", F.xxhash64("n", "constant").alias("t1"), F.xxhash64("constant", "n").alias("t2"))
+    matched = stage(held.select("doc_id", "text_hash", "line_no", "h1", "h2").join(templates, ["h1", "h2"]).drop(
+        "h1", "h2"), "templates")
     order = F.struct(F.col("doc_id").isNull(), "doc_id", "text_hash", "line_no")
-    first = matched.groupBy("template", "doc_id", "text_hash").agg(F.min("line_no").alias("line_no")).groupBy(
-        "template").agg(F.count(F.lit(1)).alias("docs"), F.min(order).alias("first")).filter(
+    first = matched.groupBy("t1", "t2", "doc_id", "text_hash").agg(F.min("line_no").alias("line_no")).groupBy(
+        "t1", "t2").agg(F.count(F.lit(1)).alias("docs"), F.min(order).alias("first")).filter(
         F.col("docs") >= min_docs).drop("docs")
-    return matched.join(first, "template").filter(~order.eqNullSafe(F.col("first"))).drop("first")
+    return matched.join(first, ["t1", "t2"]).filter(~order.eqNullSafe(F.col("first"))).select(
+        "doc_id", "text_hash", "line_no", F.col("t1").alias("template_hash"))
 
 
 def drop_recurring_lines(docs: DataFrame, depth: int = DEPTH, min_docs: int = MIN_DOCS,
@@ -86,7 +94,7 @@ def drop_recurring_lines(docs: DataFrame, depth: int = DEPTH, min_docs: int = MI
     met = docs.join(gone, F.col(id_column).eqNullSafe(F.col("__id")) & (F.xxhash64(text_column) == F.col("__hash")), "left")
     kept = F.array_join(F.filter(F.split(text_column, "\n"), lambda x, i: ~F.array_contains("__gone", i)), "\n")
     return met.select(
-        *[F.when(F.col("__gone").isNull(), F.col(c)).otherwise(kept).alias(c) if c == text_column else F.col(c)
+        *[F.when(F.col("__gone").isNull(), quoted(c)).otherwise(kept).alias(c) if c == text_column else quoted(c)
           for c in docs.columns],
         F.coalesce(F.size("__gone"), F.lit(0)).alias("__dropped"))
 
