@@ -19,6 +19,10 @@ WIDTH, THRESHOLD, RECALL = 5, 0.8, 0.99
 SMALL_BUCKET, LEVELS = 256, 6
 #: Sets compared by one task at once are two blocks of so many.
 BLOCK = 512
+#: A sketch is one byte of each of so many least hashes. Pairs go on to the exact comparison unless so
+#: many standard deviations of the estimate lie between them and the threshold.
+SKETCH, DEVIATIONS = 128, 5.0
+_TURNS = mix(np.arange(2 * SKETCH, dtype=np.uint64)) | np.uint64(1)
 _COLUMNS_AT_ONCE = 8_192
 
 
@@ -62,6 +66,23 @@ def _children(grams: np.ndarray, edges: np.ndarray, parents: np.ndarray, thresho
     return mix(hashes[chosen]), row[chosen]
 
 
+def _below(grams: np.ndarray, nodes: np.ndarray, threshold: float) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Level, parent and node of all nodes that one set goes to below some nodes of the first level."""
+    levels, parents, children = [], [], []
+    edges = np.array([0, len(grams)])
+    for level in range(2, LEVELS + 1):
+        found, parent = [], []
+        for node in nodes:
+            below, _ = _children(grams, edges, np.array([node]), threshold)
+            found.append(below)
+            parent.append(np.full(len(below), node))
+        nodes = np.concatenate(found) if found else nodes
+        levels.append(np.full(len(nodes), level, np.int32))
+        parents.append(np.concatenate(parent) if parent else nodes)
+        children.append(nodes)
+    return np.concatenate(levels), as_long(np.concatenate(parents)), as_long(np.concatenate(children))
+
+
 def runs_for(recall: float, levels: int = 3) -> int:
     """Runs after which a pair at the threshold has met with the target probability.
 
@@ -74,6 +95,17 @@ def runs_for(recall: float, levels: int = 3) -> int:
     return math.ceil(math.log(1 - recall) / math.log(1 - meets))
 
 
+def _sketches(grams: np.ndarray, edges: np.ndarray) -> list[bytes]:
+    """Sketches of the sets; that of an empty set means nothing."""
+    out = np.zeros((len(edges) - 1, SKETCH), np.uint8)
+    full = np.flatnonzero(np.diff(edges))
+    if len(full):
+        for k in range(SKETCH):
+            least = np.minimum.reduceat(grams * _TURNS[2 * k] + _TURNS[2 * k + 1], edges[:-1][full])
+            out[full, k] = (mix(least) & np.uint64(255)).astype(np.uint8)
+    return [x.tobytes() for x in out]
+
+
 def _lists(values: np.ndarray, edges: np.ndarray) -> pa.ListArray:
     return pa.ListArray.from_arrays(pa.array(edges, pa.int32()), pa.array(values))
 
@@ -86,6 +118,25 @@ def _stats(members: DataFrame) -> DataFrame:
     return sums.groupBy("n", "sum", "xor").agg(F.min("node").alias("node")).select("node", "n")
 
 
+def _apart(table: pa.Table, pairs: np.ndarray) -> np.ndarray:
+    """Without the diagonal, and in a group of two different blocks without the pairs inside one."""
+    np.fill_diagonal(pairs, False)
+    if table.column("lo")[0].as_py() != table.column("hi")[0].as_py():
+        block = table.column("block").to_numpy()
+        pairs &= block[:, None] != block[None, :]
+    return pairs
+
+
+def _maybe(table: pa.Table, threshold: float) -> np.ndarray:
+    """Which sets of a group of two blocks may be similar, by their sketches."""
+    sketch = np.frombuffer(b"".join(table.column("sketch").to_pylist()), np.uint8).reshape(-1, SKETCH)
+    same = np.zeros((len(sketch), len(sketch)), np.int16)
+    for column in np.ascontiguousarray(sketch.T):
+        same += column[:, None] == column[None, :]
+    bound = SKETCH * (threshold - DEVIATIONS * math.sqrt(threshold * (1 - threshold) / SKETCH))
+    return _apart(table, same >= bound)
+
+
 def _linked(table: pa.Table, threshold: float) -> np.ndarray:
     """Which sets of a group of two blocks are similar, by exact Jaccard similarity of all their pairs."""
     lists = table.column("grams").combine_chunks()
@@ -106,11 +157,7 @@ def _linked(table: pa.Table, threshold: float) -> np.ndarray:
         part[row[lo:hi], number[lo:hi] - a] = 1
         common += part @ part.T
     linked = common * (1 + threshold) >= threshold * (sizes[:, None] + sizes[None, :]) - 1e-3
-    np.fill_diagonal(linked, False)
-    block = table.column("block").to_numpy()
-    if table.column("lo")[0].as_py() != table.column("hi")[0].as_py():
-        linked &= block[:, None] != block[None, :]
-    return linked
+    return _apart(table, linked)
 
 
 def _forest(linked: np.ndarray) -> tuple[list[int], list[int]]:
@@ -132,9 +179,10 @@ def _forest(linked: np.ndarray) -> tuple[list[int], list[int]]:
 
 
 def _block_pairs(groups: DataFrame, sets: DataFrame) -> DataFrame:
-    """Deal the sets of each group (``node``, ``n``, ``set_key``) out to pairs of blocks, with their grams."""
+    """Deal the sets of each group (``node``, ``set_key``) out to pairs of blocks, with what ``sets`` has of them."""
     blocks = F.ceil(F.col("n") / BLOCK)
-    dealt = groups.select("node", "set_key", F.pmod(F.xxhash64("set_key", F.lit(2)), blocks).alias("block"), F.explode(
+    sized = groups.select("node", "set_key").join(groups.groupBy("node").agg(F.count(F.lit(1)).alias("n")), "node")
+    dealt = sized.select("node", "set_key", F.pmod(F.xxhash64("set_key", F.lit(2)), blocks).alias("block"), F.explode(
         F.sequence(F.lit(0).cast("long"), blocks - 1)).alias("other"))
     return dealt.select("node", "set_key", "block", F.least("block", "other").alias("lo"),
                         F.greatest("block", "other").alias("hi")).join(sets, "set_key").groupBy("node", "lo", "hi")
@@ -152,9 +200,10 @@ def similar_documents(docs: DataFrame, threshold: float = THRESHOLD, width: int
     Equal sets are one set from the start, so copies cost nothing more. Then, from a root for
     each of ``runs_for(recall)`` runs, every set moves along the grams that its node chooses to
     child nodes; nodes of one set end, nodes of more than ``SMALL_BUCKET`` are split again, and the
-    others are buckets. All pairs in a bucket are compared exactly, in pairs of blocks of ``BLOCK``
-    sets, which give edges enough to connect them. At last each class counts its links
-    exactly, in pairs of blocks as well. Pairs are never rows.
+    others are buckets. In a bucket, sketches tell which sets may have a similar one there; all
+    pairs of those are compared exactly, in pairs of blocks of ``BLOCK`` sets, which give edges
+    enough to connect them. At last each class counts its links exactly, in pairs of blocks
+    as well. Pairs are never rows.
 
     A text without words is linked to nothing and is a class of its own. Rows repeated with
     identifier and text have equal answers, so all are kept or none. Null identifiers come
@@ -175,17 +224,29 @@ def similar_documents(docs: DataFrame, threshold: float = THRESHOLD, width: int
                 starts = np.concatenate([[0], np.cumsum(np.bincount(row, minlength=len(edges) - 1))])
                 yield pa.RecordBatch.from_arrays(
                     [*(part.column(c) for c in ("doc_id", "k1", "k2")), pa.array(_set_keys(grams, edges), pa.binary()),
-                     _lists(as_long(node[order]), starts)], ["doc_id", "k1", "k2", "set_key", "nodes"])
+                     pa.array(_sketches(grams, edges), pa.binary()), _lists(as_long(node[order]), starts)],
+                    ["doc_id", "k1", "k2", "set_key", "sketch", "nodes"])
 
     rows = stage(rows_in.mapInArrow(
-        describe, "doc_id long, k1 long, k2 long, set_key binary, nodes array<long>"), "sets")
+        describe, "doc_id long, k1 long, k2 long, set_key binary, sketch binary, nodes array<long>"), "sets")
     first = F.struct(missing.alias("missing"), "doc_id", "k1", "k2")
     sets = stage(rows.filter("set_key IS NOT NULL").groupBy("set_key").agg(
-        F.count(F.lit(1)).alias("copies"), F.min(first).alias("first"), F.first("nodes").alias("nodes")), "different")
+        F.count(F.lit(1)).alias("copies"), F.min(first).alias("first"), F.first("sketch").alias("sketch"),
+        F.first("nodes").alias("nodes")), "different")
+    sketches = sets.select("set_key", "sketch")
+
+    def sift(table: pa.Table) -> pa.Table:
+        return table.filter(pa.array(_maybe(table, threshold).any(axis=1))).select(["node", "set_key"])
+
+    def sifted(groups: DataFrame) -> DataFrame:
+        return stage(_block_pairs(groups, sketches).applyInArrow(sift, groups.select("node", "set_key").schema).distinct(), "sifted")
 
     members = sets.select("set_key", F.explode("nodes").alias("node"))
     met = stage(members.join(_stats(members), "node"), "met")
-    wanted = met.select("set_key").distinct().join(sets, "set_key").select("first.k1", "first.k2")
+    buckets, large = met.filter(F.col("n") <= SMALL_BUCKET), met.filter(F.col("n") > SMALL_BUCKET)
+    compared = sifted(buckets)
+    wanted = compared.select("set_key").union(large.select("set_key")).distinct().join(sets, "set_key").select(
+        "first.k1", "first.k2")
 
     def gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -194,37 +255,39 @@ def similar_documents(docs: DataFrame, threshold: float = THRESHOLD, width: int
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(_set_keys(grams, edges), pa.binary()), _lists(as_long(grams), edges)], ["set_key", "grams"])
 
-    grams_of = stage(rows_in.select("k1", "k2", "text").join(wanted, ["k1", "k2"], "left_semi").select("text").mapInArrow(
-        gather, "set_key binary, grams array<long>").dropDuplicates(["set_key"]), "grams")
+    grams_of = stage(rows_in.select("k1", "k2", "text").join(wanted, ["k1", "k2"], "left_semi").dropDuplicates(
+        ["k1", "k2"]).select("text").mapInArrow(gather, "set_key binary, grams array<long>"), "grams")
 
-    def split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def descend(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            lists = batch.column("grams")
-            edges = lists.offsets.to_numpy()
-            flat = lists.values.to_numpy()[edges[0]:edges[-1]].view(np.uint64)
-            node, row = _children(flat, edges - edges[0], batch.column("node").to_numpy().view(np.uint64), threshold)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(as_long(node)), batch.column("set_key").take(pa.array(row))], ["node", "set_key"])
+            trees = [_below(grams.values.to_numpy().view(np.uint64), nodes.values.to_numpy().view(np.uint64), threshold)
+                     for nodes, grams in zip(batch.column("nodes"), batch.column("grams"))]
+            if trees:
+                rows = np.repeat(np.arange(len(trees)), [len(t[0]) for t in trees])
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column("set_key").take(pa.array(rows)), *(pa.array(np.concatenate(x)) for x in zip(*trees))],
+                    ["set_key", "level", "parent", "node"])
 
-    buckets, large = met.filter(F.col("n") <= SMALL_BUCKET), met.filter(F.col("n") > SMALL_BUCKET)
-    for _ in range(LEVELS - 1):
+    nodes_of = large.groupBy("set_key").agg(F.collect_set("node").alias("nodes"))
+    tree = stage(nodes_of.join(grams_of, "set_key").mapInArrow(
+        descend, "set_key binary, level int, parent long, node long"), "tree")
+    for level in range(2, LEVELS + 1):
         if large.isEmpty():
             break
-        children = stage(large.select("node", "set_key").join(grams_of, "set_key").select(
-            "node", "set_key", "grams").mapInArrow(split, "node long, set_key binary").distinct(), "children")
+        split = large.select(F.col("node").alias("parent")).distinct()
+        children = tree.filter(F.col("level") == level).join(split, "parent").select("set_key", "node").distinct()
         below = stage(children.join(_stats(children), "node"), "met")
-        buckets = buckets.unionByName(below.filter(F.col("n") <= SMALL_BUCKET))
+        compared = compared.union(sifted(below.filter(F.col("n") <= SMALL_BUCKET)))
         large = below.filter(F.col("n") > SMALL_BUCKET)
-    buckets = buckets.unionByName(large)
+    compared = compared.union(sifted(large))
 
     def connect(table: pa.Table) -> pa.Table:
         a, b = _forest(_linked(table, threshold))
         keys = table.column("set_key")
         return pa.table({"a": keys.take(pa.array(a, pa.int64())), "b": keys.take(pa.array(b, pa.int64()))})
 
-    labels = components(_block_pairs(buckets, grams_of).applyInArrow(connect, "a binary, b binary"))
-    classes = labels.join(labels.groupBy("label").agg(F.count(F.lit(1)).alias("n")), "label").select(
-        F.col("label").alias("node"), F.col("node").alias("set_key"), "n")
+    labels = components(_block_pairs(compared, grams_of).applyInArrow(connect, "a binary, b binary"))
+    classes = labels.select(F.col("label").alias("node"), F.col("node").alias("set_key"))
     copies = sets.select("set_key", "copies", "first")
 
     def count(table: pa.Table) -> pa.Table:
