@@ -17,7 +17,7 @@ from lateline.llm.tokenise import encoder, with_end
 from lateline.session import stage
 
 #: Pieces of one length that are ranked by one task on average.
-RANKED_ROWS = 50_000
+RANKED_ROWS = 2_000
 _PIECE = "doc_id long, piece int, start long, length long, ids_crc32 long"
 _ARROW = pa.schema([("doc_id", pa.int64()), ("piece", pa.int32()), ("start", pa.int64()), ("length", pa.int64()),
                     ("ids_crc32", pa.int64())])
