@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from lateline.llm.spans import as_long, slices, span_hashes, texts, words
 
 #: Words are hashed to so many bits; 0 is the start of a text. A table of words has at most 2 ** VOCABULARY_BITS rows.
-VOCABULARY_BITS = 22
+VOCABULARY_BITS = 21
 BACKOFF = 0.4
 _WORDS = (1 << VOCABULARY_BITS) - 1
 
