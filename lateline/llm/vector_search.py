@@ -139,19 +139,28 @@ def _sound(vector: Column) -> Column:
     return F.coalesce(fine & F.exists(vector, lambda v: v != 0), F.lit(False))
 
 
+_LANES = 16
+_BEST = "query_id long, lane int, best array<struct<minus: double, vec_id: long>>"
+
+
 def _top(table_items: pa.Table, table_queries: pa.Table, k: int) -> pa.Table:
-    """The k best of a block of items for each of a block of queries, by exact inner products, ties to smaller numbers."""
-    schema = pa.schema([("query_id", pa.int64()), ("vec_id", pa.int64()), ("score", pa.float64())])
+    """The k best of a block of items for each of a block of queries, by exact inner products, ties to smaller numbers.
+
+    One row a query; ``lane`` spreads the rows of a query over several merges.
+    """
+    entry = pa.struct([("minus", pa.float64()), ("vec_id", pa.int64())])
+    schema = pa.schema([("query_id", pa.int64()), ("lane", pa.int32()), ("best", pa.list_(entry))])
     if not table_items.num_rows or not table_queries.num_rows:
         return schema.empty_table()
     x, q = _matrix(table_items.column("vector")), _matrix(table_queries.column("vector"))
     holders = table_items.column("ids").combine_chunks()
     edges, ids = holders.offsets.to_numpy(), holders.values.to_numpy()
-    out: tuple[list, list, list] = ([], [], [])
+    out_ids, out_minus = [], []
     scores = q @ x.T
     keep = min(k + 1, len(x))
     bound = -np.partition(-scores, keep - 1, axis=1)[:, keep - 1]
-    for row, number in enumerate(table_queries.column("query_id").to_pylist()):
+    numbers = table_queries.column("query_id").to_pylist()
+    for row, number in enumerate(numbers):
         # A little below the bound, as sums in another order differ in the last bits.
         at = np.flatnonzero(scores[row] >= bound[row] - 1e-9 * max(1.0, abs(bound[row])))
         exact = (x[at] * q[row]).sum(axis=1)
@@ -161,10 +170,14 @@ def _top(table_items: pa.Table, table_queries: pa.Table, k: int) -> pa.Table:
         own = found == number
         found, value = found[~own], value[~own]
         best = np.lexsort((found, -value))[:k]
-        out[0].append(np.full(len(best), number, np.int64))
-        out[1].append(found[best])
-        out[2].append(value[best])
-    return pa.Table.from_arrays([pa.array(np.concatenate(c)) for c in out], schema=schema)
+        out_ids.append(found[best])
+        out_minus.append(-value[best])
+    ends = pa.array(np.concatenate([[0], np.cumsum([len(i) for i in out_ids])]), pa.int32())
+    entries = pa.StructArray.from_arrays([pa.array(np.concatenate(out_minus)), pa.array(np.concatenate(out_ids))],
+                                         fields=list(entry))
+    lane = (31 * table_items.column("part")[0].as_py() + table_items.column("block")[0].as_py()) % _LANES
+    return pa.Table.from_arrays([pa.array(numbers, pa.int64()), pa.array([lane] * len(numbers), pa.int32()),
+                                 pa.ListArray.from_arrays(ends, entries)], schema=schema)
 
 
 def nearest(vectors: DataFrame, queries: Column, k: int = 20, recall: float = RECALL, id_column: str = "vec_id",
@@ -188,7 +201,6 @@ def nearest(vectors: DataFrame, queries: Column, k: int = 20, recall: float = RE
     query's identifier are its own. An empty table gives an empty result.
     """
     spark = vectors.sparkSession
-    schema = "query_id long, vec_id long, score double"
     every = vectors.select(F.col(id_column).cast("long").alias("id"), F.col(vector_column).cast("array<double>").alias("vector"),
                            F.coalesce(queries, F.lit(False)).alias("asks")).filter(
         F.col("id").isNotNull() & _sound(F.col("vector")))
@@ -245,9 +257,12 @@ def nearest(vectors: DataFrame, queries: Column, k: int = 20, recall: float = RE
         "part", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)).alias("block"),
         F.pmod(F.xxhash64("query_id"), "turns").alias("turn"), "query_id", "vector")
     group = ["part", "block", "turn"]
-    met = left.groupBy(*group).cogroup(right.groupBy(*group)).applyInArrow(lambda a, b: _top(a, b, k), schema)
-    order = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id"))
-    return met.withColumn("rank", order).filter(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
+    met = left.groupBy(*group).cogroup(right.groupBy(*group)).applyInArrow(lambda a, b: _top(a, b, k), _BEST)
+    best = F.slice(F.array_sort(F.flatten(F.collect_list("best"))), 1, k).alias("best")
+    merged = met.groupBy("query_id", "lane").agg(best).groupBy("query_id").agg(best)
+    ranked_ids = merged.select("query_id", F.posexplode("best").alias("place", "x"))
+    return ranked_ids.select("query_id", (F.col("place") + 1).alias("rank"), F.col("x.vec_id").alias("vec_id"),
+                             (-F.col("x.minus")).alias("score"))
 
 
 def _probes(index: DataFrame, asked: DataFrame, ranked, parts: int, k: int, recall: float) -> int:
