@@ -87,7 +87,7 @@ def test_every_operator_is_registered():
 
 
 def test_pipeline_stages_against_brute_force(shipped, messy):
-    rows = [(k, prose(300 + k, 60), "en", "a", 1) for k in range(30)]
+    rows = [(500 + k, prose(300 + k, 60), "en", "a", 1) for k in range(30)]
     docs = messy.select("doc_id", "text", "lang", "source", "n_chars").filter("doc_id is not null").unionByName(
         shipped.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long"))
     folder = "unused"
