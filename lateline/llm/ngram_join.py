@@ -17,6 +17,8 @@ from lateline.session import stage
 WIDTH, THRESHOLD, RECALL = 5, 0.8, 0.99
 #: Buckets of more sets are split further, up to so many levels.
 SMALL_BUCKET, LEVELS = 256, 6
+#: A large node that keeps such a share of its parent's sets is compared as it is; another split would part little.
+UNSHRUNK = 0.9
 #: Sets compared by one task at once are two blocks of so many.
 BLOCK = 512
 #: A sketch is one byte of each of so many least hashes. Pairs go on to the exact comparison unless so
@@ -66,11 +68,12 @@ def _children(grams: np.ndarray, edges: np.ndarray, parents: np.ndarray, thresho
     return mix(hashes[chosen]), row[chosen]
 
 
-def _below(grams: np.ndarray, nodes: np.ndarray, threshold: float) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Level, parent and node of all nodes that one set goes to below some nodes of the first level."""
+def _below(grams: np.ndarray, nodes: np.ndarray, roots: np.ndarray, threshold: float) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Level, parent and node of all nodes that one set goes to below some roots and some nodes of the first level."""
     levels, parents, children = [], [], []
     edges = np.array([0, len(grams)])
-    for level in range(2, LEVELS + 1):
+    first, nodes = nodes, roots
+    for level in range(1, LEVELS + 1):
         found, parent = [], []
         for node in nodes:
             below, _ = _children(grams, edges, np.array([node]), threshold)
@@ -80,6 +83,8 @@ def _below(grams: np.ndarray, nodes: np.ndarray, threshold: float) -> tuple[np.n
         levels.append(np.full(len(nodes), level, np.int32))
         parents.append(np.concatenate(parent) if parent else nodes)
         children.append(nodes)
+        if level == 1:
+            nodes = np.concatenate([nodes, first])
     return np.concatenate(levels), as_long(np.concatenate(parents)), as_long(np.concatenate(children))
 
 
@@ -110,12 +115,17 @@ def _lists(values: np.ndarray, edges: np.ndarray) -> pa.ListArray:
     return pa.ListArray.from_arrays(pa.array(edges, pa.int32()), pa.array(values))
 
 
-def _stats(members: DataFrame) -> DataFrame:
-    """Nodes of two sets or more; of nodes with the same sets only one."""
+def _stats(members: DataFrame, split_from: int | None = None) -> DataFrame:
+    """Nodes of two sets or more; of nodes with the same sets only one, unless they have ``split_from`` sets or more.
+
+    Nodes that are compared as they are give the same pairs if they have the same sets. Nodes that are
+    split choose other grams each, which is what makes the runs independent, so all of them stay.
+    """
     sums = members.groupBy("node").agg(
         F.count(F.lit(1)).alias("n"), F.sum(F.xxhash64("set_key") % F.lit(1 << 40)).alias("sum"),
         F.bit_xor(F.xxhash64("set_key", F.lit(1))).alias("xor")).filter("n > 1")
-    return sums.groupBy("n", "sum", "xor").agg(F.min("node").alias("node")).select("node", "n")
+    own = F.lit(None) if split_from is None else F.when(F.col("n") >= split_from, F.col("node"))
+    return sums.groupBy("n", "sum", "xor", own.cast("long").alias("own")).agg(F.min("node").alias("node")).select("node", "n")
 
 
 def _apart(table: pa.Table, pairs: np.ndarray) -> np.ndarray:
@@ -200,7 +210,10 @@ def similar_documents(docs: DataFrame, threshold: float = THRESHOLD, width: int
     Equal sets are one set from the start, so copies cost nothing more. Then, from a root for
     each of ``runs_for(recall)`` runs, every set moves along the grams that its node chooses to
     child nodes; nodes of one set end, nodes of more than ``SMALL_BUCKET`` are split again, and the
-    others are buckets. In a bucket, sketches tell which sets may have a similar one there; all
+    others are buckets. A pair that is found only on the last level needs ``runs_for(recall, LEVELS)``
+    runs; both its sets are in large nodes then, so only sets of large nodes take the further runs.
+    A large node that hardly differs from its parent is a bucket too: splitting doesn't part
+    what shares most of its grams. In a bucket, sketches tell which sets may have a similar one there; all
     pairs of those are compared exactly, in pairs of blocks of ``BLOCK`` sets, which give edges
     enough to connect them. At last each class counts its links exactly, in pairs of blocks
     as well. Pairs are never rows.
@@ -213,6 +226,7 @@ def similar_documents(docs: DataFrame, threshold: float = THRESHOLD, width: int
     rows_in = docs.select(F.col(id_column).cast("long").alias("doc_id"), *_row_keys(id_column, text_column),
                           _plain(F.coalesce(F.col(text_column), F.lit(""))).alias("text"))
     roots = [mix_one(0xC0FFEE + r) for r in range(runs_for(recall))]
+    further = np.array([mix_one(0xC0FFEE + r) for r in range(len(roots), runs_for(recall, LEVELS))], np.uint64)
 
     def describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -242,7 +256,7 @@ def similar_documents(docs: DataFrame, threshold: float = THRESHOLD, width: int
         return stage(_block_pairs(groups, sketches).applyInArrow(sift, groups.select("node", "set_key").schema).distinct(), "sifted")
 
     members = sets.select("set_key", F.explode("nodes").alias("node"))
-    met = stage(members.join(_stats(members), "node"), "met")
+    met = stage(members.join(_stats(members, SMALL_BUCKET + 1), "node"), "met")
     buckets, large = met.filter(F.col("n") <= SMALL_BUCKET), met.filter(F.col("n") > SMALL_BUCKET)
     compared = sifted(buckets)
     wanted = compared.select("set_key").union(large.select("set_key")).distinct().join(sets, "set_key").select(
@@ -260,7 +274,7 @@ def similar_documents(docs: DataFrame, threshold: float = THRESHOLD, width: int
 
     def descend(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            trees = [_below(grams.values.to_numpy().view(np.uint64), nodes.values.to_numpy().view(np.uint64), threshold)
+            trees = [_below(grams.values.to_numpy().view(np.uint64), nodes.values.to_numpy().view(np.uint64), further, threshold)
                      for nodes, grams in zip(batch.column("nodes"), batch.column("grams"))]
             if trees:
                 rows = np.repeat(np.arange(len(trees)), [len(t[0]) for t in trees])
@@ -271,15 +285,25 @@ def similar_documents(docs: DataFrame, threshold: float = THRESHOLD, width: int
     nodes_of = large.groupBy("set_key").agg(F.collect_set("node").alias("nodes"))
     tree = stage(nodes_of.join(grams_of, "set_key").mapInArrow(
         descend, "set_key binary, level int, parent long, node long"), "tree")
-    for level in range(2, LEVELS + 1):
+    whole = large.select("set_key", "node").limit(0)
+    for level in range(1, LEVELS + 1):
         if large.isEmpty():
             break
-        split = large.select(F.col("node").alias("parent")).distinct()
-        children = tree.filter(F.col("level") == level).join(split, "parent").select("set_key", "node").distinct()
-        below = stage(children.join(_stats(children), "node"), "met")
+        at = tree.filter(F.col("level") == level)
+        if level == 1:
+            children = at.select("set_key", "node", F.lit(None).cast("long").alias("before"))
+        else:
+            split = large.select(F.col("node").alias("parent"), F.col("n").alias("before")).distinct()
+            children = at.join(split, "parent").select("set_key", "node", "before").distinct()
+        below = stage(children.join(_stats(children, SMALL_BUCKET + 1), "node"), "met")
         compared = compared.union(sifted(below.filter(F.col("n") <= SMALL_BUCKET)))
-        large = below.filter(F.col("n") > SMALL_BUCKET)
-    compared = compared.union(sifted(large))
+        unshrunk = F.coalesce(F.col("n") >= UNSHRUNK * F.col("before"), F.lit(False))
+        left = below.filter(F.col("n") > SMALL_BUCKET)
+        whole = whole.union(left.filter(unshrunk).select("set_key", "node"))
+        left = left.filter(~unshrunk).select("set_key", "node", "n")
+        large = large.select("set_key", "node", "n").union(left) if level == 1 else left
+    whole = whole.union(large.select("set_key", "node"))
+    compared = compared.union(sifted(whole.join(_stats(whole), "node")))
 
     def connect(table: pa.Table) -> pa.Table:
         a, b = _forest(_linked(table, threshold))

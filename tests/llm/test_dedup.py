@@ -135,6 +135,16 @@ def test_similar_documents_split_large_buckets_and_blocks(shipped, monkeypatch):
     assert got == brute_classes(rows)
 
 
+def test_similar_documents_find_large_classes_of_one_core(shipped):
+    rows = []
+    for c in range(4):
+        core = " ".join(f"c{c}w{k}" for k in range(60))
+        rows += [(1_000 * c + k, f"{core} own{k} tail{k}") for k in range(300)]
+    got = ngram_join.similar_documents(shipped.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert Counter((r.doc_id, r.class_id, r.links) for r in got) == Counter(
+        (i, i // 1_000 * 1_000, 299) for i, _ in rows)
+
+
 def test_one_of_each(messy, nothing):
     kept = ngram_join.one_of_each(messy)
     assert kept.columns == messy.columns
