@@ -11,44 +11,44 @@ from pyspark.sql import functions as F
 
 from lateline.llm.spans import as_long, slices, span_hashes, texts, words
 
-#: Words are hashed to so many bits; 0 is the start of a text. A table of words has at most 2 ** VOCABULARY_BITS rows.
-VOCABULARY_BITS = 21
 BACKOFF = 0.4
-_WORDS = (1 << VOCABULARY_BITS) - 1
 
 
 def _word_numbers(part: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
-    """Numbers of the words of each row, and the edges of the rows."""
+    """64-bit hashes of the words of each row, and the edges of the rows. 0 is the start of a text, no word."""
     t = texts(part.column("text"))
     w = words(t)
-    return (span_hashes(t, w.starts, w.lengths) % np.uint64(_WORDS)).astype(np.int64) + 1, w.edges
+    return as_long(np.maximum(span_hashes(t, w.starts, w.lengths), np.uint64(1))), w.edges
 
 
-def _pairs(numbers: np.ndarray, edges: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Different bigrams of each row with how often, and the edges of the rows. The first word follows 0."""
+def _pairs(numbers: np.ndarray, edges: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """First and second words of the different bigrams of each row, how often, and the edges of the rows.
+
+    The first word of a row follows 0.
+    """
     before = np.concatenate([[0], numbers[:-1]]) if len(numbers) else numbers
     before[edges[:-1][np.diff(edges) > 0]] = 0
     row = np.repeat(np.arange(len(edges) - 1), np.diff(edges))
-    both = row << 2 * VOCABULARY_BITS | before << VOCABULARY_BITS | numbers
-    both, times = np.unique(both, return_counts=True)
-    starts = np.searchsorted(both, np.arange(len(edges)) << 2 * VOCABULARY_BITS)
-    return both & (1 << 2 * VOCABULARY_BITS) - 1, times, starts
+    order = np.lexsort((numbers, before, row))
+    row, before, numbers = row[order], before[order], numbers[order]
+    new = np.ones(len(row), bool)
+    new[1:] = (np.diff(row) != 0) | (before[1:] != before[:-1]) | (numbers[1:] != numbers[:-1])
+    at = np.flatnonzero(new)
+    return before[at], numbers[at], np.diff(at, append=len(row)), np.searchsorted(row[at], np.arange(len(edges)))
 
 
 def word_counts(texts_: DataFrame) -> DataFrame:
-    """``word`` number and ``count`` over all rows; word 0 counts the rows that have words.
+    """``word`` hash and ``count`` over all rows; word 0 counts the rows that have words.
 
     Each task adds up what it reads, so a frequent word is a row for each task.
     """
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros(_WORDS + 1, np.int64)
         for batch in batches:
             for part in slices(batch, "text"):
                 numbers, edges = _word_numbers(part)
-                total += np.bincount(numbers, minlength=len(total))
-                total[0] += int((np.diff(edges) > 0).sum())
-        used = np.flatnonzero(total)
-        yield pa.RecordBatch.from_arrays([pa.array(used), pa.array(total[used])], ["word", "count"])
+                starts = np.zeros((np.diff(edges) > 0).sum(), np.int64)
+                used, times = np.unique(np.concatenate([starts, numbers]), return_counts=True)
+                yield pa.RecordBatch.from_arrays([pa.array(used), pa.array(times)], ["word", "count"])
 
     return texts_.mapInArrow(count, "word long, count long").groupBy("word").agg(F.sum("count").alias("count"))
 
@@ -64,10 +64,9 @@ def lm_scores(docs: DataFrame, backoff: float = BACKOFF, id_column: str = "doc_i
     The different bigrams of each document are exploded and dealt out by their hash; there
     the count of each is put to its rows, and the results are summed for each document,
     in the task first. A document has one row for a bigram, so a common bigram holds at most
-    one row a document. The table of words has a fixed bound and is broadcast.
-
-    Words of one hashed number count together; with many more different words than numbers
-    that makes rare words look commoner, never frequent ones.
+    one row a document. Words are told apart by 64 bits, bigrams by 128. A bigram of one
+    document needs the count of its second word, any other that of its first, so each row
+    is joined once to the table of words, which grows with the input and is dealt out by its hash.
 
     Words are in lower case. A text without words, null or empty, has 0 words and a null score.
     Rows repeated with identifier and text are other documents to each other, with equal scores. An empty table gives an empty result.
@@ -79,26 +78,25 @@ def lm_scores(docs: DataFrame, backoff: float = BACKOFF, id_column: str = "doc_i
         for batch in batches:
             for part in slices(batch, "text"):
                 numbers, edges = _word_numbers(part)
-                bigrams, times, starts = _pairs(numbers, edges)
+                before, word, times, starts = _pairs(numbers, edges)
                 lists = [pa.ListArray.from_arrays(pa.array(starts, pa.int32()), pa.array(x))
-                         for x in (as_long(bigrams), times.astype(np.int32))]
+                         for x in (before, word, times.astype(np.int32))]
                 yield pa.RecordBatch.from_arrays([part.column("doc_id"), part.column("row"), *lists],
-                                                 ["doc_id", "row", "bigrams", "times"])
+                                                 ["doc_id", "row", "before", "word", "times"])
 
     counts = word_counts(rows.select("text"))
-    spread = rows.mapInArrow(gather, "doc_id long, row long, bigrams array<long>, times array<int>").select(
-        "doc_id", "row", F.explode(F.arrays_zip("bigrams", "times")).alias("x")).select(
-        "doc_id", "row", F.col("x.bigrams").alias("bigram"), F.col("x.times").alias("own"))
-    everywhere = F.sum("own").over(Window.partitionBy("bigram"))
-    met = spread.withColumn("others", everywhere - F.col("own")).withColumns({
-        "before": F.shiftrightunsigned("bigram", VOCABULARY_BITS), "word": F.col("bigram").bitwiseAND(_WORDS)})
-    total = counts.filter("word > 0").agg(F.sum("count").alias("total")).first()["total"] or 1
-    first = F.broadcast(counts.select(F.col("word").alias("before"), F.col("count").alias("before_count")))
-    second = F.broadcast(counts.select("word", F.col("count").alias("word_count")))
+    spread = rows.mapInArrow(
+        gather, "doc_id long, row long, before array<long>, word array<long>, times array<int>").select(
+        "doc_id", "row", F.explode(F.arrays_zip("before", "word", "times")).alias("x")).select(
+        "doc_id", "row", "x.before", "x.word", F.col("x.times").alias("own"))
+    everywhere = F.sum("own").over(Window.partitionBy("before", "word"))
     known = F.col("others") > 0
-    step = F.when(known, F.log(F.col("others") / F.col("before_count"))).otherwise(
-        F.log(F.lit(backoff) * F.col("word_count") / F.lit(float(total))))
-    summed = met.join(first, "before").join(second, "word").groupBy("doc_id", "row").agg(
+    met = spread.withColumn("others", everywhere - F.col("own")).select(
+        "doc_id", "row", "own", "others", F.when(known, F.col("before")).otherwise(F.col("word")).alias("needed"))
+    total = counts.filter("word != 0").agg(F.sum("count").alias("total")).first()["total"] or 1
+    step = F.when(known, F.log(F.col("others") / F.col("count"))).otherwise(
+        F.log(F.lit(backoff) * F.col("count") / F.lit(float(total))))
+    summed = met.join(counts.withColumnRenamed("word", "needed"), "needed").groupBy("doc_id", "row").agg(
         F.sum("own").alias("words"), F.sum(F.when(known, F.col("own")).otherwise(0)).alias("seen"),
         F.sum(F.col("own") * step).alias("sum"))
     copies = F.col("copies")

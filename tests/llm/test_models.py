@@ -116,6 +116,15 @@ def test_scores_match_brute_force(messy, nothing):
     assert lm_score.lm_scores(nothing).collect() == []
 
 
+def test_scores_of_many_different_words(shipped):
+    rows = [(d, " ".join(f"w{d}x{k}" for k in range(8_000))) for d in range(2)]
+    total = 16_000
+    want = (7_999 * math.log(0.4 / total) + math.log(0.4 / total)) / 8_000  # each word and bigram once
+    got = lm_score.lm_scores(shipped.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert [(r.words, r.seen) for r in got] == [(8_000, 0)] * 2
+    assert all(r.score == pytest.approx(want, rel=1e-9) for r in got)
+
+
 def vector_rows():
     rng = np.random.default_rng(1)
     centres = rng.standard_normal((12, 16))
