@@ -18,12 +18,13 @@ class Encoder:
     Its splitting never joins a character that is not white space with white space after
     it. A text can therefore be cut before each blank or line feed that follows such a
     character; the units between the cuts repeat a lot, and each new one is encoded once.
-    Two 64-bit hashes tell units apart.
+    Two 64-bit hashes tell units apart. Batches with added tokens in their texts, such as an end
+    of text, are encoded text by text, because those tokens are cut out before any splitting.
     """
 
     def __init__(self, path: str):
         self._tokenizer = Tokenizer.from_file(path)
-        self._tokenizer.encode_special_tokens = True
+        self._added = [x.content.encode() for x in self._tokenizer.get_added_tokens_decoder().values()]
         vocabulary = self._tokenizer.get_vocab()
         self._width = np.zeros(max(vocabulary.values()) + 1, np.int64)
         for token, number in vocabulary.items():
@@ -36,6 +37,8 @@ class Encoder:
 
     def __call__(self, t: Texts) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all rows one after another, and the edges of the rows."""
+        if self._has_added(t.data[:t.size].tobytes()):
+            return self._plainly(t)
         starts, lengths, row_edges = _units(t)
         hashes, checks = span_hashes(t, starts, lengths), span_hashes(t, starts, lengths, 1)
         unique, first, inverse = np.unique(hashes, return_index=True, return_inverse=True)
@@ -52,6 +55,9 @@ class Encoder:
         ids = self._ids[np.repeat(self._start[at][inverse] - ends + count, count) + np.arange(total)]
         return ids, np.concatenate([[0], ends])[row_edges]
 
+    def _has_added(self, data: bytes) -> bool:
+        return any(token in data for token in self._added)
+
     def _learn(self, t: Texts, hashes, checks, starts, lengths) -> None:
         if len(self._hash) + len(hashes) > REMEMBERED:
             # What this batch needs is in `hashes` and in the table; both must stay.
@@ -69,8 +75,11 @@ class Encoder:
         for part in np.split(batch, np.flatnonzero(np.diff(parts)) + 1) if len(batch) else []:
             span, edges = lengths[part], np.cumsum(lengths[part])
             where = np.repeat(starts[part] - edges + span, span) + np.arange(edges[-1])
-            text = t.data[where].tobytes().decode("utf-8", "surrogateescape")
-            ids = self._ids_of([text])[0]
+            text = t.data[where].tobytes()
+            if self._has_added(text):  # only the joining made it
+                joinable[part] = False
+                continue
+            ids = self._ids_of([text.decode("utf-8", "surrogateescape")])[0]
             token_ends = np.cumsum(self._width[ids])
             cut = np.searchsorted(token_ends, edges) + 1
             if not np.array_equal(token_ends[cut - 1], edges):

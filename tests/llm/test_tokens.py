@@ -35,6 +35,14 @@ def test_encoder_equals_tokenizer(plain, monkeypatch):
             assert [ids[a:b].tolist() for a, b in zip(edges, edges[1:])] == [plain(t) for t in part]
 
 
+def test_encoder_equals_tokenizer_on_added_tokens(plain):
+    rows = ["hello <|endoftext|> world", "<|endoftext|>", "a<|endoftext|>b", "x  <|endoftext|>\n\n y", "none", None, "<|endof"]
+    encode = tokenise.Encoder(PATH)
+    ids, edges = encode(texts(pa.array(rows, pa.string())))
+    assert [ids[a:b].tolist() for a, b in zip(edges, edges[1:])] == [plain(t) for t in rows]
+    assert plain(rows[0]) == [31373, 220, 50256, 995]
+
+
 @settings(max_examples=60, deadline=None)
 @given(st.lists(st.text(alphabet="ab é\n\t 1.'s  ñ!", max_size=30), max_size=6))
 def test_encoder_equals_tokenizer_on_any_text(rows):
