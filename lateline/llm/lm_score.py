@@ -6,7 +6,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lateline.llm.spans import as_long, slices, span_hashes, texts, words
@@ -61,12 +61,12 @@ def lm_scores(docs: DataFrame, backoff: float = BACKOFF, id_column: str = "doc_i
     log(backoff x c(w) / all words). The score is the mean over the words. c(u) and
     c(w) count all documents, so neither is 0.
 
-    The different bigrams of each document are exploded and dealt out by their hash; there
-    the count of each is put to its rows, and the results are summed for each document,
-    in the task first. A document has one row for a bigram, so a common bigram holds at most
-    one row a document. Words are told apart by 64 bits, bigrams by 128. A bigram of one
-    document needs the count of its second word, any other that of its first, so each row
-    is joined once to the table of words, which grows with the input and is dealt out by its hash.
+    The different bigrams of each document are exploded and added up, in the task first. The table
+    of their counts is joined to the exploded rows, where adaptive execution can split a common
+    bigram, and the results are summed for each document, in the task first. Words are told
+    apart by 64 bits, bigrams by 128. A bigram of one document needs the count of its second
+    word, any other that of its first, so the table of bigrams is joined once to that of words. Both
+    grow with the input and are dealt out by their hash.
 
     Words are in lower case. A text without words, null or empty, has 0 words and a null score.
     Rows repeated with identifier and text are other documents to each other, with equal scores. An empty table gives an empty result.
@@ -89,14 +89,16 @@ def lm_scores(docs: DataFrame, backoff: float = BACKOFF, id_column: str = "doc_i
         gather, "doc_id long, row long, before array<long>, word array<long>, times array<int>").select(
         "doc_id", "row", F.explode(F.arrays_zip("before", "word", "times")).alias("x")).select(
         "doc_id", "row", "x.before", "x.word", F.col("x.times").alias("own"))
-    everywhere = F.sum("own").over(Window.partitionBy("before", "word"))
+    bigrams = spread.groupBy("before", "word").agg(
+        F.sum("own").alias("everywhere"), F.count(F.lit(1)).alias("documents")).withColumn(
+        "needed", F.when(F.col("documents") > 1, F.col("before")).otherwise(F.col("word"))).drop("documents")
+    counted = bigrams.join(counts.withColumnRenamed("word", "needed"), "needed").drop("needed")
+    met = spread.join(counted, ["before", "word"]).withColumn("others", F.col("everywhere") - F.col("own"))
     known = F.col("others") > 0
-    met = spread.withColumn("others", everywhere - F.col("own")).select(
-        "doc_id", "row", "own", "others", F.when(known, F.col("before")).otherwise(F.col("word")).alias("needed"))
     total = counts.filter("word != 0").agg(F.sum("count").alias("total")).first()["total"] or 1
     step = F.when(known, F.log(F.col("others") / F.col("count"))).otherwise(
         F.log(F.lit(backoff) * F.col("count") / F.lit(float(total))))
-    summed = met.join(counts.withColumnRenamed("word", "needed"), "needed").groupBy("doc_id", "row").agg(
+    summed = met.groupBy("doc_id", "row").agg(
         F.sum("own").alias("words"), F.sum(F.when(known, F.col("own")).otherwise(0)).alias("seen"),
         F.sum(F.col("own") * step).alias("sum"))
     copies = F.col("copies")

@@ -125,6 +125,11 @@ def test_scores_of_many_different_words(shipped):
     assert all(r.score == pytest.approx(want, rel=1e-9) for r in got)
 
 
+def test_bigrams_are_added_up_before_they_meet(messy):
+    plan = lm_score.lm_scores(messy)._jdf.queryExecution().optimizedPlan().toString()
+    assert "Window" not in plan and "Join" in plan
+
+
 def vector_rows():
     rng = np.random.default_rng(1)
     centres = rng.standard_normal((12, 16))
