@@ -6,7 +6,8 @@ import uuid
 
 from pyspark.sql import functions as F
 
-from lateline.llm import exact_dedup, language_id, line_dedup, lm_score, mixing, ngram_join, packing, quality_fm, token_files, vector_search
+from lateline.llm import (collocations, exact_dedup, language_id, line_dedup, lm_score, mixing, ngram_join, packing,
+                          quality_fm, simhash_join, token_files, vector_search, whitening)
 from lateline.llm.registry import QUERIES, SQL, query  # noqa: F401
 from lateline.llm.shipping import ship
 from lateline.session import shared_folder
@@ -86,3 +87,18 @@ def op7(spark, folder):
 def op9(spark, folder):
     return vector_search.nearest(_table(spark, folder, "embeddings").select("vec_id", "embedding"),
                                  F.col("vec_id") % 20 == 0)
+
+
+@query("op11_collocations", collocations.COLLOCATIONS_SQL)
+def op11(spark, folder):
+    return collocations.collocations(_table(spark, folder, "documents").select("lang", "text"))
+
+
+@query("op12_whitening")
+def op12(spark, folder):
+    return whitening.whitened(_table(spark, folder, "embeddings").select("vec_id", "embedding"))
+
+
+@query("op13_simhash_join")
+def op13(spark, folder):
+    return simhash_join.simhash_components(_table(spark, folder, "documents").select("doc_id", "text"))
