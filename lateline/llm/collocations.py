@@ -17,10 +17,10 @@ from lateline.session import stage
 
 DEPTH, LEAST, TOP = 3, 10, 2_000
 #: Suffixes of a group of prefixes; a prefix of more is extended by a word.
-GROUP_SUFFIXES = 2_000_000
+GROUP_SUFFIXES = 400_000
 #: Bits of the filter of frequent words for each of them, and at most.
 FILTER_BITS, MOST_FILTER_BITS = 16, 1 << 27
-SLICE_BYTES = 6_000_000
+SLICE_BYTES = 3_000_000
 # The characters that end a piece, and those that part words in one.
 _ENDS = np.zeros(256, bool)
 _ENDS[[ord(c) for c in ".,;:!?"] + list(range(0x0A, 0x0E))] = True
@@ -56,7 +56,7 @@ def _pieces(column: pa.Array) -> Pieces:
     starts = np.flatnonzero(solid & (~before | apart[:-1]))
     stops = np.flatnonzero(solid & (~after | apart[1:])) + 1
     row = np.searchsorted(t.edges, starts, side="right") - 1
-    piece = np.concatenate([[0], np.cumsum(ends)])[starts]
+    piece = np.cumsum(ends, dtype=np.int32)[starts]
     count = len(starts)
     new = np.ones(count, bool)
     new[1:] = (piece[1:] != piece[:-1]) | (row[1:] != row[:-1])
@@ -64,9 +64,8 @@ def _pieces(column: pa.Array) -> Pieces:
     room = np.repeat(np.append(first[1:], count), np.diff(np.append(first, count))) - np.arange(count)
     lengths = stops - starts
     offsets = np.concatenate([[0], np.cumsum(lengths)])
-    inside = np.arange(offsets[-1]) - np.repeat(offsets[:-1], lengths)
     spelled = pa.LargeBinaryArray.from_buffers(
-        pa.large_binary(), count, [None, pa.py_buffer(offsets.astype(np.int64)), pa.py_buffer(raw[np.repeat(starts, lengths) + inside])])
+        pa.large_binary(), count, [None, pa.py_buffer(offsets.astype(np.int64)), pa.py_buffer(raw[solid])])
     numbered = spelled.dictionary_encode()
     spans = texts(numbered.dictionary)
     hashes = span_hashes(spans, spans.edges[:-1], np.diff(spans.edges))
