@@ -14,13 +14,14 @@ from pyspark.ml import PipelineModel
 from pyspark.ml.classification import GBTClassifier, LogisticRegression, RandomForestClassifier
 from pyspark.ml.feature import StandardScaler
 from pyspark.ml.functions import array_to_vector, vector_to_array
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import NumericType
 
 from lateline.functions.expressions import quoted
+from lateline.operators.boosting import fit_boosting
 from lateline.schema import SEED, TARGET
-from lateline.session import kept
+from lateline.session import kept, stage
 
 logger = logging.getLogger(__name__)
 
@@ -29,7 +30,7 @@ PARAMS: dict[str, dict] = {
     "logistic_regression": {"C": 0.5, "max_iter": 2000},
     "random_forest": {"n_estimators": 200, "max_depth": 20, "min_samples_leaf": 2, "max_features": "sqrt"},
     "xgboost": {"n_estimators": 200, "max_depth": 8, "learning_rate": 0.05, "subsample": 0.8,
-                "colsample_bytree": 0.8, "min_child_weight": 3, "gamma": 0.1},
+                "colsample_bytree": 0.8, "min_child_weight": 3, "gamma": 0.1, "patience": 10},
 }
 MODELS = list(PARAMS)
 FEATURES, SCALED, LABEL, WEIGHT, STOP = "features", "scaled", "label", "weight", "held_out"
@@ -60,7 +61,14 @@ def weighted(df: DataFrame, scheme: str | None) -> DataFrame:
     return df.withColumn(WEIGHT, F.when(F.col(LABEL) == 1, pair[1]).otherwise(pair[0]))
 
 
-def estimator(kind: str, params: Mapping, rows: int, features_col: str, early_stopping: bool = False):
+#: Families that ``boosting`` fits, by their growth. The first starts from the usual settings of second-order
+#: boosting, the other from those of best-first growth, where drawing rows is off unless a frequency is set.
+HISTOGRAM = {"xgboost": {"growth": "level"},
+             "leaf_wise": {"growth": "leaf", "num_leaves": 31, "min_child_samples": 20, "min_child_weight": 1e-3,
+                           "reg_lambda": 0.0, "subsample_freq": 0}}
+
+
+def estimator(kind: str, params: Mapping, rows: int, features_col: str):
     """MLlib estimator for a model family and its parameters."""
     common = {"featuresCol": features_col, "labelCol": LABEL, "weightCol": WEIGHT}
     if kind == "logistic_regression":
@@ -72,12 +80,10 @@ def estimator(kind: str, params: Mapping, rows: int, features_col: str, early_st
             numTrees=params["n_estimators"], maxDepth=min(params["max_depth"], 30),
             minInstancesPerNode=params.get("min_samples_leaf", 1),
             featureSubsetStrategy=str(params.get("max_features", "sqrt")), seed=SEED, cacheNodeIds=True, **common)
-    trees = GBTClassifier(
+    return GBTClassifier(
         maxIter=params["n_estimators"], maxDepth=min(params["max_depth"], 30), stepSize=params["learning_rate"],
         subsamplingRate=params.get("subsample", 1.0), featureSubsetStrategy=str(params.get("colsample_bytree", "all")),
         minInstancesPerNode=params.get("min_child_weight", 1), seed=SEED, cacheNodeIds=True, **common)
-    return trees.setValidationIndicatorCol(STOP) if early_stopping else trees
-
 
 @dataclass
 class TrainedModel:
@@ -140,12 +146,17 @@ def fit_vectors(kind: str, params: Mapping, rows: DataFrame, scheme: str | None,
         stages.append(scaler)
         column = SCALED
     fit_on = ready
+    if held_out is not None and kind not in HISTOGRAM:
+        raise ValueError(f"{kind} doesn't stop early")
     if held_out is not None:
         fit_on = ready.withColumn(STOP, F.lit(False)).unionByName(
             held_out.withColumn(WEIGHT, F.lit(1.0)).withColumn(STOP, F.lit(True)))
-    for stage in stages:
-        fit_on = stage.transform(fit_on)
-    model = estimator(kind, params, total, column, held_out is not None).fit(fit_on)
+    for step in stages:
+        fit_on = step.transform(fit_on)
+    if kind in HISTOGRAM:
+        model = fit_boosting(fit_on, {"seed": SEED, **HISTOGRAM[kind], **params}, column, LABEL, WEIGHT, STOP if held_out is not None else None)
+    else:
+        model = estimator(kind, params, total, column).fit(fit_on)
     return PipelineModel([*stages, model])
 
 
@@ -203,9 +214,26 @@ def scaler_parameters(df: DataFrame, features: Sequence[str]) -> DataFrame:
     return df.sparkSession.createDataFrame(rows, "feature string, mean double, std double")
 
 
-def folded(df: DataFrame, k: int, key: Sequence[str], seed: int = SEED, column: str = "fold") -> DataFrame:
-    """Fold of each row from a seeded hash of its key."""
-    return df.withColumn(column, F.pmod(F.xxhash64(F.lit(seed), *[quoted(c) for c in key]), F.lit(k)).cast("int"))
+def folded(df: DataFrame, k: int, label: str = LABEL, column: str = "fold") -> DataFrame:
+    """Fold of each row: its rank among the rows of its label, modulo ``k``, so folds differ by at most one row a label.
+
+    The rows are written once, and ranked by their place in a part behind the rows of the parts before.
+    Equal rows have ranks of their own; a null label is a label. No window holds more than one part.
+    """
+    if k < 2:
+        raise ValueError("folds must be at least 2")
+    own, place = F.col("__row"), F.col("__place")
+    part = F.shiftrightunsigned(place, 33).alias("__part")
+    written = stage(df.select(F.struct("*").alias("__row"), F.monotonically_increasing_id().alias("__place")), "folds")
+    placed = written.select("__row", "__place", part, own[label].alias("__label"))
+    counts = placed.groupBy("__part", "__label").agg(F.count(F.lit(1)).alias("__n"))
+    before = Window.partitionBy("__label").orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)
+    starts = counts.select(F.col("__part").alias("__at"), F.col("__label").alias("__of"),
+                           F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__start"))
+    inside = F.row_number().over(Window.partitionBy("__part", "__label").orderBy("__place"))
+    ranked = placed.withColumn("__rank", inside).join(
+        starts, (F.col("__part") == F.col("__at")) & F.col("__label").eqNullSafe(F.col("__of")))
+    return ranked.select("__row.*", F.pmod(F.col("__start") + F.col("__rank") - 1, F.lit(k)).cast("int").alias(column))
 
 
 def spread(values: Sequence[float]) -> tuple[float, float]:
