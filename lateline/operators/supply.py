@@ -110,3 +110,62 @@ def vendor_tiers(scores: DataFrame) -> DataFrame:
         tier = F.when(test, name) if tier is None else tier.when(test, name)
         advice = F.when(test, text) if advice is None else advice.when(test, text)
     return scores.join(ranked, "vendor_score").withColumns({"tier": tier, "suggestion": advice})
+
+
+def transfer_plan(balance: DataFrame, by: Sequence[str], site: str, units: str) -> DataFrame:
+    """Moves of whole ``units`` from sites with a surplus to sites with a shortage: ``by, from_site, to_site, units``.
+
+    ``units`` is the surplus of a site, negative for a shortage; rows of a site are added up. Within each
+    group of ``by``, surpluses and shortages are laid on a line one after the other, in the order of
+    their sites, and what overlaps is a move. So every unit moves once, at most one move a site has
+    more than one partner at each end, and the lesser of both sums is moved. A null site is a site, last in the order; null units are zero.
+
+    Prefix sums come from range partitions. The line of a group is cut into as many slots as it has sites, and
+    intervals meet by slot, so work and rows follow the sites and not their pairs.
+    """
+    keys = [quoted(c).alias(f"by{i}") for i, c in enumerate(by)] or [F.lit(0).alias("by0")]
+    names = [f"by{i}" for i in range(len(keys))]
+    sites = stage(balance.groupBy(*keys, quoted(site).alias("site")).agg(
+        F.coalesce(F.sum(quoted(units).cast("long")), F.lit(0)).alias("units")).filter("units != 0").select(
+        F.struct(*names).alias("group"), "site", F.abs("units").alias("units"), (F.col("units") > 0).alias("gives")), "balance")
+    line = with_running_totals(sites, [F.col("site").asc_nulls_last()], {"until": F.col("units")}, by=["group", "gives"], staged=True)
+    spans = line.select("group", "site", "gives", (F.col("until") - F.col("units")).alias("begin"), "until")
+    width = sites.groupBy(F.col("group").alias("g")).agg(F.greatest(F.lit(1), F.expr("sum(units) div count(1)")).cast("long").alias("width"))
+    slots = F.explode(F.sequence(F.expr("begin div width"), F.expr("(until - 1) div width"))).alias("slot")
+    dealt = spans.join(width, F.col("group").eqNullSafe(F.col("g"))).select("group", "site", "gives", "begin", "until", "width", slots)
+    giving = dealt.filter("gives").select(F.col("group").alias("g"), "slot", F.col("site").alias("from_site"),
+                                          F.col("begin").alias("b"), F.col("until").alias("u"))
+    taking = dealt.filter("NOT gives").select("group", F.col("slot").alias("at"), F.col("site").alias("to_site"), "begin", "until", "width")
+    low, high = F.greatest("b", "begin"), F.least("u", "until")
+    met = giving.join(taking, F.col("g").eqNullSafe(F.col("group")) & (F.col("slot") == F.col("at")) & (low < high)
+                      & (F.floor(low / F.col("width")) == F.col("at")))
+    return met.select(*[F.col(f"group.by{i}").alias(c) for i, c in enumerate(by)], "from_site", "to_site", (high - low).alias("units"))
+
+
+def fair_balance(stock: DataFrame, demand: DataFrame, by: Sequence[str], site: str, stock_column: str,
+                 demand_column: str) -> DataFrame:
+    """Whole units that each site has above (or below) its share of the stock by demand: ``by, site, stock, demand, units``.
+
+    The share is rounded down, and the units that this leaves go one each to the largest remainders,
+    ties to the first site, so shares add up to the stock. Without any demand nothing is to move.
+    """
+    keys = [quoted(c).alias(f"by{i}") for i, c in enumerate(by)] + [quoted(site).alias("site")]
+    names = [f"by{i}" for i in range(len(by))]
+    both = (stock.select(*keys, quoted(stock_column).cast("long").alias("stock"), F.lit(0).cast("long").alias("demand"))
+            .unionByName(demand.select(*keys, F.lit(0).cast("long").alias("stock"), quoted(demand_column).cast("long").alias("demand"))))
+    sites = stage(both.groupBy(*names, "site").agg(F.coalesce(F.sum("stock"), F.lit(0)).alias("stock"),
+                                                   F.coalesce(F.sum("demand"), F.lit(0)).alias("demand")), "sites")
+    group = F.struct(*[F.col(n) for n in names]) if names else F.struct(F.lit(0).alias("by0"))
+    keyed = sites.withColumn("group", group)
+    totals = keyed.groupBy("group").agg(F.sum("stock").alias("s"), F.sum("demand").alias("d"))
+    wide = "cast(stock_all as decimal(19,0)) * cast(demand as decimal(19,0))"
+    shared = keyed.join(totals.select(F.col("group").alias("g"), F.col("s").alias("stock_all"), F.col("d").alias("demand_all")),
+                        F.col("group").eqNullSafe(F.col("g"))).filter("demand_all > 0").drop("g")
+    shared = shared.withColumn("fair", F.expr(f"({wide}) div cast(demand_all as decimal(19,0))")).withColumn(
+        "rest", F.expr(f"cast(({wide}) % cast(demand_all as decimal(19,0)) as decimal(38,0))"))
+    shared = stage(shared, "shares")
+    ranked = with_running_totals(shared, [F.desc("rest"), F.col("site").asc_nulls_last()], {"rank": F.lit(1)}, by=["group"], staged=True)
+    open_ = shared.groupBy("group").agg((F.first("stock_all") - F.sum("fair")).alias("open")).withColumnRenamed("group", "g")
+    fair = F.col("fair") + (F.col("rank") <= F.col("open")).cast("long")
+    return ranked.join(open_, F.col("group").eqNullSafe(F.col("g"))).select(
+        *[F.col(n).alias(c) for n, c in zip(names, by)], "site", "stock", "demand", (F.col("stock") - fair).alias("units"))

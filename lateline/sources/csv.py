@@ -4,10 +4,14 @@ from __future__ import annotations
 
 import csv
 import io
+from collections import defaultdict
 from collections.abc import Mapping, Sequence
+from dataclasses import dataclass
+from functools import reduce
+from urllib.parse import unquote
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -45,6 +49,53 @@ def inspect(spark: SparkSession, path: str) -> tuple[str, bool]:
     return "UTF-8" if row["valid"] else "ISO-8859-1", row["broken"]
 
 
+@dataclass(frozen=True)
+class CsvFile:
+    """What one file holds: where it is, how it is written, and the line of its column names."""
+
+    path: str
+    encoding: str
+    broken: bool
+    header: str
+
+
+def inspect_files(spark: SparkSession, path: str) -> list[CsvFile]:
+    """``inspect`` for each file on its own, and its first line, in one pass. One row a file reaches the driver."""
+    quotes = F.length("value") - F.length(F.replace("value", F.lit('"'), F.lit("")))
+    lines = _lines(spark, path).select("value", F.col("_metadata.file_path").alias("file"),
+                                       F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("place"))
+    found = lines.groupBy("file").agg(
+        F.bool_and(F.is_valid_utf8("value")).alias("valid"), F.bool_or(quotes % 2 == 1).alias("broken"),
+        F.min_by(F.col("value").cast("binary"), F.struct("block", "place")).alias("header")).collect()
+    out = []
+    for row in sorted(found, key=lambda r: r["file"]):
+        encoding = "UTF-8" if row["valid"] else "ISO-8859-1"
+        header = bytes(row["header"]).decode("utf-8-sig" if row["valid"] else "latin-1")
+        out.append(CsvFile(unquote(row["file"]), encoding, row["broken"], header))
+    return out
+
+
+def detect_delimiters(spark: SparkSession, path: str, lines: int = 50) -> DataFrame:
+    """``file`` and the ``delimiter`` that splits its first ``lines`` lines most steadily.
+
+    Delimiters are counted outside quotes. For each, the commonest count above zero and the share of lines that have it
+    tell how steady it is; the highest share wins, then the higher count, then the order of ``DELIMITERS``. A file
+    without any is taken to have commas.
+    """
+    first = _lines(spark, path).select("value", F.col("_metadata.file_path").alias("file"), F.monotonically_increasing_id().alias("place"),
+                                       F.col("_metadata.file_block_start").alias("block")).filter("block = 0 AND length(value) > 0")
+    sample = first.withColumn("line", F.row_number().over(Window.partitionBy("file").orderBy("place"))).filter(F.col("line") <= lines)
+    bare = F.regexp_replace("value", r'"[^"]*("|$)', "")
+    counts = F.array(*[F.struct(F.lit(-k).alias("order"), F.lit(d).alias("delimiter"),
+                                (F.length(bare) - F.length(F.replace(bare, F.lit(d), F.lit("")))).alias("count"))
+                       for k, d in enumerate(DELIMITERS)])
+    spread = sample.select("file", F.explode(counts).alias("c")).select("file", "c.*")
+    steady = spread.filter("count > 0").groupBy("file", "order", "delimiter", "count").agg(F.count(F.lit(1)).alias("lines"))
+    best = steady.groupBy("file").agg(F.max(F.struct("lines", "count", "order", "delimiter")).alias("best"))
+    return sample.select("file").distinct().join(best, "file", "left").select(
+        "file", F.coalesce("best.delimiter", F.lit(",")).alias("delimiter"))
+
+
 def _header(spark: SparkSession, path: str, delimiter: str | None, encoding: str) -> tuple[list[str], str]:
     reader = spark.read.option("encoding", encoding)
     first = reader.csv(path, sep="\u0001", quote="", schema="line string").first()
@@ -87,23 +138,37 @@ def read_csv(spark: SparkSession, path: str, columns: Sequence[str] | None = Non
     null. The same pass keeps order ids as text unless all are whole numbers, and with
     ``infer_unknown`` makes unknown columns of numbers numeric.
 
-    Another pass finds the encoding and line breaks inside quotes; pass ``encoding`` and
-    ``multi_line`` to skip it (files with such breaks can't be read in parts), ``delimiter=None`` to
-    detect the delimiter, ``rename`` to map other names.
+    Another pass finds the encoding, the line breaks inside quotes and the column names of every file on its
+    own; pass ``encoding`` and ``multi_line`` to skip it (files with such breaks can't be read in parts).
+    ``delimiter=None`` detects the delimiter of every file. Files that are written alike are read together, and
+    the groups are put together by column names, absent ones null. ``rename`` maps other names.
     """
     if unreadable not in ("error", "null"):
         raise ValueError(f"unreadable must be error or null, not {unreadable!r}")
     _lines(spark, path)
-    if encoding is None or multi_line is None:
-        found = inspect(spark, path)
-        encoding, multi_line = encoding or found[0], found[1] if multi_line is None else multi_line
-    names, delimiter = _header(spark, path, delimiter, encoding)
-    standard = [(rename or {}).get(n, n) for n in names]
+    groups: dict[tuple, list[str]] = defaultdict(list)
+    if encoding is None or multi_line is None or delimiter is None:
+        files = inspect_files(spark, path)
+        split = {} if delimiter else {unquote(r["file"]): r["delimiter"] for r in detect_delimiters(spark, path).collect()}
+        for f in files:
+            key = (encoding or f.encoding, f.broken if multi_line is None else multi_line, delimiter or split.get(f.path, ","), f.header)
+            groups[key].append(f.path)
+    if len(groups) == 1:
+        groups = {key: [path] for key in groups}
+    if not groups:
+        names, delimiter = _header(spark, path, delimiter or ",", encoding or "UTF-8")
+        groups[(encoding or "UTF-8", bool(multi_line), delimiter, None)] = [path]
+    parts, standard = [], []
+    for (own_encoding, lines_broken, own_delimiter, line), paths in groups.items():
+        own = names if line is None else [n.strip() for n in next(csv.reader(io.StringIO(line), delimiter=own_delimiter), [])]
+        own = [(rename or {}).get(n, n) for n in own]
+        standard += [n for n in own if n not in standard]
+        parts.append(spark.read.options(header=True, sep=own_delimiter, encoding=own_encoding, quote='"', escape='"', multiLine=lines_broken)
+                     .schema(T.StructType([T.StructField(n, T.StringType()) for n in own])).csv(paths))
     absent = [c for c in columns or () if c not in standard]
     if absent:
         raise ValueError(f"columns not in file: {absent}")
-    df = spark.read.options(header=True, sep=delimiter, encoding=encoding, quote='"', escape='"', multiLine=multi_line).schema(
-        T.StructType([T.StructField(s, T.StringType()) for s in standard])).csv(path)
+    df = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
     df = df.select(*[F.when(~quoted(c).isin(MISSING), quoted(c)).alias(c) for c in (columns or standard)])
 
     kinds = {c: COLUMN_TYPES.get(c, T.StringType()) for c in df.columns}
