@@ -7,6 +7,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -81,8 +82,11 @@ def identify(docs: DataFrame, model: LanguageModel, text_column: str = "text", m
     added = ["lang_pred", "score", "margin", "accepted"]
     kept = [c for c in docs.columns if c not in added]
     plain = [f"c{k}" for k in range(len(kept))]  # functions over batches can't take every name
-    inner = docs.select(*[quoted(c).alias(n) for c, n in zip(kept, plain)], F.lower(F.col(text_column)).alias("__text"),
-                        F.coalesce(F.col(text_column).rlike(r"\p{L}"), F.lit(False)).alias("__letters"))
+    # The text goes to Python once: as a kept column if it is one.
+    own = plain[kept.index(text_column)] if text_column in kept else "__text"
+    inner = docs.select(*[quoted(c).alias(n) for c, n in zip(kept, plain)],
+                        *([] if own in plain else [quoted(text_column).alias(own)]),
+                        F.coalesce(quoted(text_column).rlike(r"\p{L}"), F.lit(False)).alias("__letters"))
     schema = docs.select(*map(quoted, kept)).toDF(*plain).schema.add("lang_pred", "string").add("score", "double").add(
         "margin", "double").add("accepted", "boolean")
 
@@ -90,8 +94,8 @@ def identify(docs: DataFrame, model: LanguageModel, text_column: str = "text", m
         languages, dictionaries = shared.value
         squeeze = [_compressor(d).compress for d in dictionaries]
         for batch in batches:
-            for part in slices(batch, "__text"):
-                t = texts(part.column("__text"))
+            for part in slices(batch, own):
+                t = texts(_lower(part.column(own)))
                 sizes = np.zeros((len(t), max(len(languages), 1)))
                 letters = part.column("__letters").to_numpy(zero_copy_only=False).astype(bool)
                 raw = t.data.tobytes()
@@ -114,6 +118,14 @@ def identify(docs: DataFrame, model: LanguageModel, text_column: str = "text", m
     return inner.mapInArrow(label, schema).toDF(*kept, *added)
 
 
+def _lower(column: pa.Array) -> pa.Array:
+    try:
+        return pc.utf8_lower(column)
+    except pa.ArrowInvalid:  # some text isn't valid UTF-8
+        return pa.array([None if x is None else x.decode("utf-8", "replace").lower() for x in column.cast(pa.binary()).to_pylist()],
+                        pa.string())
+
+
 def _compressor(dictionary: bytes) -> zstandard.ZstdCompressor:
     content = zstandard.ZstdCompressionDict(dictionary, dict_type=zstandard.DICT_TYPE_RAWCONTENT)
     content.precompute_compress(level=_LEVEL)

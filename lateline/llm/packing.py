@@ -163,10 +163,14 @@ def pack(pieces: DataFrame, capacity: int) -> DataFrame:
     most, reaches the driver, where the plan of lengths is made. Pieces of a length are
     then ranked, those of a frequent length in several slices with the counts before each,
     and a piece's rank says which sequence of the plan it fills. Repeated rows are
-    interchangeable. An empty table gives an empty result.
+    interchangeable. An empty table gives an empty result. A length that is null, below 1 or above
+    ``capacity`` fits no sequence and is an error.
     """
     spark = pieces.sparkSession
-    histogram = {r["length"]: r["count"] for r in pieces.groupBy("length").count().collect()}
+    histogram = {r["length"]: r["count"] for r in pieces.groupBy("length").count().orderBy("length").limit(capacity + 2).collect()}
+    wrong = sorted((n for n in histogram if n is None or not 1 <= n <= capacity), key=str)
+    if wrong:
+        raise ValueError(f"pieces must have 1 to {capacity} ids, but some have {wrong[:5]}")
     counts = np.zeros(capacity + 1, np.int64)
     for length, count in histogram.items():
         counts[length] = count

@@ -69,7 +69,7 @@ def op10(spark, folder):
 @query("op5_line_dedup", line_dedup.LINES_SQL)
 def op5(spark, folder):
     docs = _table(spark, folder, "documents").select("doc_id", "text")
-    return line_dedup.drop_recurring_lines(docs).withColumnRenamed("__dropped", "dropped")
+    return line_dedup.drop_recurring_lines(docs)
 
 
 @query("op8_ngram_join")

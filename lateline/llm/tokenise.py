@@ -7,8 +7,11 @@ from tokenizers import Tokenizer
 
 from lateline.llm.spans import Texts, span_hashes
 
-#: Different units that one worker remembers (about 50 bytes each); beyond, it starts anew.
-REMEMBERED = 1_500_000
+#: Bytes of the table of units that one worker remembers; beyond, it keeps those of the batch at hand only.
+#: Growing it holds the old and the new table for a moment.
+REMEMBERED_BYTES = 24_000_000
+#: Bytes of one unit in the table without its ids, and of an id.
+_UNIT_BYTES, _ID_BYTES = 32, 4
 _JOINED_BYTES = 100_000
 
 
@@ -59,11 +62,8 @@ class Encoder:
         return any(token in data for token in self._added)
 
     def _learn(self, t: Texts, hashes, checks, starts, lengths) -> None:
-        if len(self._hash) + len(hashes) > REMEMBERED:
-            # What this batch needs is in `hashes` and in the table; both must stay.
-            keep = REMEMBERED // 4
-            if len(hashes) < keep:
-                self._trim(t)
+        if _UNIT_BYTES * (len(self._hash) + len(hashes)) + _ID_BYTES * len(self._ids) > REMEMBERED_BYTES:
+            self._trim(t)
         count = np.zeros(len(hashes), np.int64)
         found: list[np.ndarray] = []
         order: list[np.ndarray] = []
@@ -101,6 +101,7 @@ class Encoder:
         every = np.concatenate([self._hash, hashes])
         rank = np.argsort(every, kind="stable")
         self._hash = every[rank]
+        del every
         self._check = np.concatenate([self._check, checks])[rank]
         self._start = np.concatenate([self._start, start])[rank]
         self._count = np.concatenate([self._count, count])[rank]
@@ -145,7 +146,7 @@ _encoders: dict[str, Encoder] = {}
 
 
 def encoder(path: str) -> Encoder:
-    """The encoder of this worker."""
+    """The encoder of this worker; its table stays within ``REMEMBERED_BYTES``, so later tasks may keep it."""
     if path not in _encoders:
         _encoders[path] = Encoder(path)
     return _encoders[path]

@@ -1,11 +1,16 @@
 from __future__ import annotations
 
 import hashlib
+import random
 import re
 from collections import Counter, defaultdict
 
+import pytest
+import xxhash
+from pyspark.sql import functions as F
+
 from lateline.llm import exact_dedup, line_dedup, ngram_join
-from tests.llm.conftest import messy_rows
+from tests.llm.conftest import messy_rows, prose
 
 
 def test_exact_duplicates_match_brute_force(messy):
@@ -29,63 +34,108 @@ def test_exact_duplicates_of_nothing(nothing):
     assert exact_dedup.exact_duplicates(nothing).collect() == []
 
 
-def brute_lines(rows, depth=3, min_docs=4, share=0.7):
-    """Template of each line by plain loops, and what is left of each text."""
+def brute_lines(rows, depth=3, min_docs=4, share=0.6, leaf_share=0.3, long_tokens=40, long_docs=2):
+    """What is left of each text, by templates from plain loops."""
+    def spark_hash(text):
+        value = xxhash.xxh64_intdigest(text.encode(), seed=42)
+        return value - (1 << 64) if value >> 63 else value
+
+    def enough(docs, tokens):
+        return docs >= min_docs or docs >= long_docs and tokens >= long_tokens
+
     lines = []
     for doc_id, text in rows:
         for no, line in enumerate(text.split("\n") if text is not None else []):
             tokens = [t for t in re.split(r"[\x20\x09\x0B-\x0D]+", line) if t]
             tokens = ["<*>" if re.search("[0-9]", t) else t for t in tokens]
             if tokens:
-                lines.append((doc_id, text, no, tokens))
-    leaf = lambda t: (len(t), tuple(t[:depth]))
-    docs = defaultdict(set)
-    for d, x, _, t in lines:
-        docs[leaf(t)].add((d, x))
-    lines = [x for x in lines if len(docs[leaf(x[3])]) >= min_docs]
-    holders = defaultdict(set)
-    for d, x, _, t in lines:
-        holders[tuple(t)].add((d, x))
+                lines.append(((doc_id is None, doc_id or 0, spark_hash(text)), no, tuple(tokens)))
+    leaf = lambda t: (len(t), t[:depth])
+    in_leaf, holders = defaultdict(set), defaultdict(set)
+    for doc, _, t in lines:
+        in_leaf[leaf(t)].add(doc)
+        holders[t].add(doc)
     support = Counter()
     for t, who in holders.items():
         for at, token in enumerate(t):
             support[(leaf(t), at, token)] += len(who)
-    found = defaultdict(list)
-    for d, x, no, t in lines:
-        template = [v if support[(leaf(t), at, v)] >= min_docs else "<*>" for at, v in enumerate(t)]
-        if sum(v != "<*>" for v in template) >= share * len(t):
-            found[tuple(template)].append((d is None, d or 0, x, no))
+    found = defaultdict(set)
+    for doc, no, t in lines:
+        docs = len(in_leaf[leaf(t)])
+        if not enough(docs, len(t)):
+            continue
+        if enough(len(holders[t]), len(t)):
+            found[("alike", t)].add((*doc, no))
+        if docs >= min_docs and len(t) > depth:
+            constant = [v != "<*>" and support[(leaf(t), at, v)] >= max(min_docs, leaf_share * docs) for at, v in enumerate(t)]
+            if sum(constant[depth:]) >= share * (len(t) - depth):
+                template = (*t[:depth], *[v if c else "<*>" for v, c in zip(t[depth:], constant[depth:])])
+                found[("general", template)].add((*doc, no))
     gone = set()
-    for same in found.values():
-        if len({(d, x) for _, d, x, _ in same}) >= min_docs:
-            first = min(s[:2] for s in same)
-            keep = min((s for s in same if s[:2] == first), key=lambda s: s[3])
-            gone |= {s for s in same if s != keep}
+    for (_, template), same in found.items():
+        if enough(len({x[:3] for x in same}), len(template)):
+            gone |= same - {min(same)}
     out = Counter()
     for d, x in rows:
         kept = None if x is None else "\n".join(
-            line for no, line in enumerate(x.split("\n")) if (d is None, d or 0, x, no) not in gone)
+            line for no, line in enumerate(x.split("\n")) if (d is None, d or 0, spark_hash(x), no) not in gone)
         out[(d, kept)] += 1
     return out
 
 
 def test_line_dedup_matches_brute_force(messy):
-    rows = [r[:2] for r in messy_rows() if r[0] is not None]
-    got = line_dedup.drop_recurring_lines(messy.filter("doc_id is not null"))
-    assert got.columns == [*messy.columns, "__dropped"]
+    got = line_dedup.drop_recurring_lines(messy)
+    assert got.columns == [*messy.columns, "dropped"]
+    assert Counter((r.doc_id, r.text) for r in got.collect()) == brute_lines([r[:2] for r in messy_rows()])
+
+
+def test_line_dedup_of_many_small_templates_matches_brute_force(shipped):
+    rng = random.Random(5)
+    words = ["red", "blue", "x9", "to", "from", "at", "the"]
+    rows = [(k if k % 7 else None, "\n".join(" ".join(rng.choices(words, k=rng.choice([2, 3, 4, 5, 45]))) for _ in range(6))) for k in range(150)]
+    rows += [(500 + k, rows[k][1] + "\nA b c d e") for k in range(0, 40, 3)]
+    got = line_dedup.drop_recurring_lines(shipped.createDataFrame(rows, "doc_id long, text string").repartition(4))
     assert Counter((r.doc_id, r.text) for r in got.collect()) == brute_lines(rows)
 
 
+@pytest.mark.parametrize("lines", [30, 100, 400, 1500, 6000])
+def test_line_dedup_finds_one_template_at_any_size(shipped, lines):
+    rng = random.Random(lines)
+    cities, names = [f"City{chr(97 + k)}" for k in range(26)], [f"N{chr(97 + k % 26)}{'xy'[k // 26]}" for k in range(52)]
+    rows = [(k, f"Posted today in forum {rng.choice(cities)} by member {rng.choice(names)} again") for k in range(lines)]
+    got = line_dedup.drop_recurring_lines(shipped.createDataFrame(rows, "doc_id long, text string")).agg(
+        F.sum("dropped").alias("n"), F.min_by("dropped", "doc_id").alias("first")).first()
+    assert got["n"] == lines - 1 and got["first"] == 0
+
+
+def test_line_dedup_leaves_leading_tokens_alone_and_finds_long_lines(shipped):
+    long = " ".join(prose(3, 80).split()[:80])
+    rows = [(k, f"He said to {name}.") for k, name in enumerate(["Bob", "Alice", "Carol", "Dan", "Eve", "Fay"])]
+    rows += [(10 + k, long + f"\nown words of {'abc'[k]}") for k in range(3)] + [(20, "One short line"), (21, "One short line")]
+    got = {r.doc_id: (r.text, r.dropped) for r in line_dedup.drop_recurring_lines(
+        shipped.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert all(got[k] == (rows[k][1], 0) for k in range(6)) and got[20][1] == got[21][1] == 0
+    assert got[10] == (rows[6][1], 0) and got[11] == ("own words of b", 1) and got[12] == ("own words of c", 1)
+
+
 def test_line_dedup_generalises_fields_and_keeps_the_first(shipped):
     rows = [(k, f"Posted by user{k} on day {k} in the forum\n{chr(97 + k)} has words alone") for k in range(6)]
     rows += [(9, None), (10, "\n\n")]
-    got = {r.doc_id: (r.text, r["__dropped"]) for r in line_dedup.drop_recurring_lines(
+    got = {r.doc_id: (r.text, r.dropped) for r in line_dedup.drop_recurring_lines(
         shipped.createDataFrame(rows, "doc_id long, text string")).collect()}
     assert got[0] == (rows[0][1], 0)
     assert all(got[k] == (f"{chr(97 + k)} has words alone", 1) for k in range(1, 6))
     assert got[9] == (None, 0) and got[10] == ("\n\n", 0)
 
 
+def test_line_dedup_takes_any_column_names(shipped):
+    names = ["doc_id", "text", "__id", "__hash", "__gone", "__dropped", "gone", "gone_id", "row", "dropped", "a b.c"]
+    rows = [(k, "The same line stands here\n" * 2, *range(9)) for k in range(5)]
+    got = line_dedup.drop_recurring_lines(shipped.createDataFrame(rows, names)).orderBy("doc_id").collect()
+    assert got[0].asDict().keys() == set(names) and got[0]["a b.c"] == 8 and got[3]["__gone"] == 2
+    assert [r["dropped"] for r in got] == [1, 2, 2, 2, 2] and got[1]["text"] == ""
+
+
 def test_line_dedup_keeps_every_row(messy, nothing):
     assert line_dedup.drop_recurring_lines(messy).count() == len(messy_rows())
     assert line_dedup.drop_recurring_lines(nothing).collect() == []

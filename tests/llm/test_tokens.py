@@ -27,8 +27,8 @@ def plain():
 
 def test_encoder_equals_tokenizer(plain, monkeypatch):
     rows = [r[1] for r in messy_rows()] + ["a  b\n\n c", " lead", "trail ", "é à  ß", "it's don't\t x", "\n", "  "]
-    for remembered in (tokenise.REMEMBERED, 50):
-        monkeypatch.setattr(tokenise, "REMEMBERED", remembered)
+    for remembered in (tokenise.REMEMBERED_BYTES, 2_000):
+        monkeypatch.setattr(tokenise, "REMEMBERED_BYTES", remembered)
         encode = tokenise.Encoder(PATH)
         for part in (rows, rows[::-1], rows[5:9]):
             ids, edges = encode(texts(pa.array(part, pa.string())))
@@ -116,13 +116,20 @@ def test_packed_documents(shipped, messy, nothing, plain):
 
 def test_pack_in_slices(shipped, monkeypatch):
     monkeypatch.setattr(packing, "RANKED_ROWS", 7)
-    rows = [(k, 0, 3 + (k % 5 == 0) * (k % 9)) for k in range(400)]
+    rows = [(k, 0, 2 + (k % 5 == 0) * (k % 9)) for k in range(400)]
     pieces = stage(shipped.createDataFrame(rows, "doc_id long, piece int, length long"), "pieces")
     got = packing.pack(pieces, 10).collect()
     assert len(got) == 400
     check_packed(got, 10)
 
 
+def test_pack_refuses_lengths_that_fit_no_sequence(shipped):
+    for wrong in (0, 11, -3, None):
+        pieces = shipped.createDataFrame([(1, 0, 4), (2, 0, wrong)], "doc_id long, piece int, length long")
+        with pytest.raises(ValueError, match="1 to 10"):
+            packing.pack(pieces, 10)
+
+
 @settings(max_examples=80, deadline=None)
 @given(st.lists(st.integers(1, 24), max_size=60))
 def test_plan_uses_each_piece_once(lengths):
