@@ -25,8 +25,11 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 def drop_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without lines of recurring templates; one of such lines alone goes."""
-    left = line_dedup.drop_recurring_lines(docs).filter(
-        ~((F.col("__dropped") > 0) & (F.trim("text") == ""))).select(*map(quoted, docs.columns))
+    number = "dropped"
+    while number in docs.columns:
+        number += "_"
+    left = line_dedup.drop_recurring_lines(docs, dropped_column=number).filter(
+        ~((F.col(number) > 0) & (F.trim("text") == ""))).select(*map(quoted, docs.columns))
     return _sized(left)
 
 
