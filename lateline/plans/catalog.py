@@ -66,5 +66,5 @@ def divided(spark: SparkSession, folder: str) -> DataFrame:
 
 def load_all() -> None:
     """Import every module that registers queries."""
-    from lateline.plans import (catalog_data, catalog_features, catalog_models,  # noqa: F401
+    from lateline.plans import (catalog_data, catalog_features, catalog_further, catalog_models,  # noqa: F401
                                 catalog_scores)
