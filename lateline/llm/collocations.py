@@ -17,10 +17,10 @@ from lateline.session import stage
 
 DEPTH, LEAST, TOP = 3, 10, 2_000
 #: Suffixes of a group of prefixes; a prefix of more is extended by a word.
-GROUP_SUFFIXES = 400_000
+GROUP_SUFFIXES = 250_000
 #: Bits of the filter of frequent words for each of them, and at most.
 FILTER_BITS, MOST_FILTER_BITS = 16, 1 << 27
-SLICE_BYTES = 3_000_000
+SLICE_BYTES = 2_000_000
 # The characters that end a piece, and those that part words in one.
 _ENDS = np.zeros(256, bool)
 _ENDS[[ord(c) for c in ".,;:!?"] + list(range(0x0A, 0x0E))] = True
