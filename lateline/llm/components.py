@@ -2,12 +2,27 @@
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lateline.session import stage
 
 
+def least_connected(size: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """The least row that each of ``size`` rows is connected to by the edges ``a``, ``b`` of a group."""
+    label = np.arange(size)
+    while True:
+        low = np.minimum(label[a], label[b])
+        after = label.copy()
+        for at in (a, b, label[a], label[b]):
+            np.minimum.at(after, at, low)
+        after = after[after]
+        if (after == label).all():
+            return label
+        label = after
+
+
 def components(edges: DataFrame) -> DataFrame:
     """``node`` and its ``label``, the least node of its component, for all nodes of the edges ``a``, ``b``.
 

@@ -11,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lateline.llm.components import components
+from lateline.llm.components import components, least_connected
 from lateline.llm.spans import Texts, as_long, slices, texts, words
 from lateline.session import stage
 
@@ -219,28 +219,12 @@ def _met(prints: np.ndarray, bucket: int, low: int, radius: int) -> tuple[np.nda
     return edges // len(prints), edges % len(prints)
 
 
-def _forest(size: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """The least row that each row is connected to."""
-    label = np.arange(size)
-    while True:
-        low = np.minimum(label[a], label[b])
-        after = label.copy()
-        np.minimum.at(after, a, low)
-        np.minimum.at(after, b, low)
-        np.minimum.at(after, label[a], low)
-        np.minimum.at(after, label[b], low)
-        after = after[after]
-        if (after == label).all():
-            return label
-        label = after
-
-
 def _meeting(low: int, radius: int):
     """A function that connects the fingerprints of one bucket."""
     def meet(table: pa.Table) -> pa.Table:
         prints = table.column("fingerprint").to_numpy().view(np.uint64)
         bucket = table.column("bucket")[0].as_py() & ((1 << 64) - 1)
-        label = _forest(len(prints), *_met(prints, bucket, low, radius))
+        label = least_connected(len(prints), *_met(prints, bucket, low, radius))
         child = np.flatnonzero(label != np.arange(len(label)))
         return pa.table({"a": pa.array(as_long(prints[label[child]])), "b": pa.array(as_long(prints[child]))})
     return meet
