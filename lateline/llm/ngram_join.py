@@ -10,7 +10,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lateline.llm.components import components
+from lateline.functions.expressions import quoted
+from lateline.llm.components import components, least_connected
 from lateline.llm.spans import as_long, mix, mix_one, shingles, slices, span_hashes, texts, words
 from lateline.session import stage
 
@@ -19,8 +20,8 @@ WIDTH, THRESHOLD, RECALL = 5, 0.8, 0.99
 SMALL_BUCKET, LEVELS = 256, 6
 #: A large node that keeps such a share of its parent's sets is compared as it is; another split would part little.
 UNSHRUNK = 0.9
-#: Sets compared by one task at once are two blocks of so many.
-BLOCK = 512
+#: A task compares the sets of one block, or of one block with those of another, in tiles of so many by so many.
+BLOCK, TILE = 4_096, 1_024
 #: A sketch is one byte of each of so many least hashes. Pairs go on to the exact comparison unless so
 #: many standard deviations of the estimate lie between them and the threshold.
 SKETCH, DEVIATIONS = 128, 5.0
@@ -35,7 +36,8 @@ def _plain(text: Column) -> Column:
 
 def _row_keys(id_column: str, text_column: str) -> list[Column]:
     """128 bits that stand for a row's identifier and text."""
-    return [F.xxhash64(id_column, text_column).alias("k1"), F.xxhash64(text_column, F.lit(1), id_column).alias("k2")]
+    key, text = quoted(id_column), quoted(text_column)
+    return [F.xxhash64(key, text).alias("k1"), F.xxhash64(text, F.lit(1), key).alias("k2")]
 
 
 def _sets(part: pa.RecordBatch, width: int) -> tuple[np.ndarray, np.ndarray]:
@@ -128,64 +130,96 @@ def _stats(members: DataFrame, split_from: int | None = None) -> DataFrame:
     return sums.groupBy("n", "sum", "xor", own.cast("long").alias("own")).agg(F.min("node").alias("node")).select("node", "n")
 
 
-def _apart(table: pa.Table, pairs: np.ndarray) -> np.ndarray:
-    """Without the diagonal, and in a group of two different blocks without the pairs inside one."""
-    np.fill_diagonal(pairs, False)
-    if table.column("lo")[0].as_py() != table.column("hi")[0].as_py():
-        block = table.column("block").to_numpy()
-        pairs &= block[:, None] != block[None, :]
-    return pairs
+def _tiles(table: pa.Table) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Rows and other rows to compare: all of one block among themselves, or all of one with all of another."""
+    block = table.column("block").to_numpy()
+    low, high = table.column("lo")[0].as_py(), table.column("hi")[0].as_py()
+    a = [at for at in np.split(np.flatnonzero(block == low), range(TILE, len(block), TILE)) if len(at)]
+    b = a if low == high else [at for at in np.split(np.flatnonzero(block == high), range(TILE, len(block), TILE)) if len(at)]
+    for i, rows in enumerate(a):
+        for others in b[i:] if low == high else b:
+            yield rows, others
 
 
 def _maybe(table: pa.Table, threshold: float) -> np.ndarray:
-    """Which sets of a group of two blocks may be similar, by their sketches."""
+    """Whether a set of a group may have a similar one there, by their sketches."""
     sketch = np.frombuffer(b"".join(table.column("sketch").to_pylist()), np.uint8).reshape(-1, SKETCH)
-    same = np.zeros((len(sketch), len(sketch)), np.int16)
-    for column in np.ascontiguousarray(sketch.T):
-        same += column[:, None] == column[None, :]
     bound = SKETCH * (threshold - DEVIATIONS * math.sqrt(threshold * (1 - threshold) / SKETCH))
-    return _apart(table, same >= bound)
-
-
-def _linked(table: pa.Table, threshold: float) -> np.ndarray:
-    """Which sets of a group of two blocks are similar, by exact Jaccard similarity of all their pairs."""
+    found = np.zeros(len(sketch), bool)
+    for a, b in _tiles(table):
+        same = np.zeros((len(a), len(b)), np.int16)
+        for x, y in zip(np.ascontiguousarray(sketch[a].T), np.ascontiguousarray(sketch[b].T)):
+            same += x[:, None] == y[None, :]
+        near = same >= bound
+        if a is b:
+            np.fill_diagonal(near, False)
+        found[a] |= near.any(axis=1)
+        found[b] |= near.any(axis=0)
+    return found
+
+
+def _linked(table: pa.Table, threshold: float) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """Rows, other rows and which of them are similar, by exact Jaccard similarity of all pairs of a group."""
     lists = table.column("grams").combine_chunks()
     edges = lists.offsets.to_numpy()
-    flat = lists.values.to_numpy()[edges[0]:edges[-1]]
+    _, ids = np.unique(lists.values.to_numpy()[edges[0]:edges[-1]], return_inverse=True)
+    edges = edges - edges[0]
     sizes = np.diff(edges)
-    row = np.repeat(np.arange(len(sizes)), sizes)
-    _, column, times = np.unique(flat, return_inverse=True, return_counts=True)
-    shared = times[column] > 1
-    row, number = row[shared], (np.cumsum(times > 1) - 1)[column[shared]]
-    order = np.argsort(number, kind="stable")
-    row, number = row[order], number[order]
-    common = np.zeros((len(sizes), len(sizes)), np.float32)
-    width = int(number[-1]) + 1 if len(number) else 0
-    for a in range(0, width, _COLUMNS_AT_ONCE):
-        lo, hi = np.searchsorted(number, [a, a + _COLUMNS_AT_ONCE])
-        part = np.zeros((len(sizes), min(_COLUMNS_AT_ONCE, width - a)), np.float32)
-        part[row[lo:hi], number[lo:hi] - a] = 1
-        common += part @ part.T
-    linked = common * (1 + threshold) >= threshold * (sizes[:, None] + sizes[None, :]) - 1e-3
-    return _apart(table, linked)
-
-
-def _forest(linked: np.ndarray) -> tuple[list[int], list[int]]:
-    """One edge for each set that another leads to: enough to keep connected what is linked."""
+
+    def entries(rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        count = sizes[rows]
+        row = np.repeat(np.arange(len(rows)), count)
+        return row, ids[np.repeat(edges[:-1][rows] - np.cumsum(count) + count, count) + np.arange(count.sum())]
+
+    for a, b in _tiles(table):
+        (row_a, id_a), (row_b, id_b) = entries(a), entries(b)
+        common = np.zeros((len(a), len(b)), np.float32)
+        both = np.intersect1d(id_a, id_b)
+        if a is b:
+            both = both[np.bincount(id_a, minlength=len(ids) + 1)[both] > 1]
+        at_a, at_b = (np.minimum(np.searchsorted(both, x), max(len(both) - 1, 0)) for x in (id_a, id_b))
+        in_a, in_b = ((both[at] == x if len(both) else np.zeros(len(x), bool)) for at, x in ((at_a, id_a), (at_b, id_b)))
+        for begin in range(0, len(both), _COLUMNS_AT_ONCE):
+            parts = []
+            for rows, row, at, inside in ((a, row_a, at_a, in_a), (b, row_b, at_b, in_b)):
+                own = inside & (at >= begin) & (at < begin + _COLUMNS_AT_ONCE)
+                part = np.zeros((len(rows), min(_COLUMNS_AT_ONCE, len(both) - begin)), np.float32)
+                part[row[own], at[own] - begin] = 1
+                parts.append(part)
+            common += parts[0] @ parts[1].T
+        near = common * (1 + threshold) >= threshold * (sizes[a][:, None] + sizes[b][None, :]) - 1e-3
+        if a is b:
+            np.fill_diagonal(near, False)
+        yield a, b, near
+
+
+def _edges(near: np.ndarray, a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Edges enough to connect what a tile links: a breadth-first search between its two sides."""
     roots, members = [], []
-    fresh = np.ones(len(linked), bool)
-    for start in range(len(linked)):
-        if not fresh[start]:
+    left, right = np.ones(len(a), bool), np.ones(len(b), bool)
+    for start in np.flatnonzero(near.any(axis=1)):
+        if not left[start]:
             continue
-        fresh[start] = False
-        front = [start]
+        left[start] = False
+        front = [(start, True)]
         while front:
-            at = np.flatnonzero(linked[front.pop()] & fresh)
-            fresh[at] = False
-            front += at.tolist()
-            roots += [start] * len(at)
-            members += at.tolist()
-    return roots, members
+            at, side = front.pop()
+            line, fresh, rows = (near[at], right, b) if side else (near[:, at], left, a)
+            next_ = np.flatnonzero(line & fresh)
+            fresh[next_] = False
+            front += [(k, not side) for k in next_]
+            roots += [a[start]] * len(next_)
+            members += rows[next_].tolist()
+    return np.array(roots, np.int64), np.array(members, np.int64)
+
+
+def _forest(table: pa.Table, threshold: float) -> tuple[np.ndarray, np.ndarray]:
+    """One edge for each set of a group that another leads to."""
+    found = [_edges(near, a, b) for a, b, near in _linked(table, threshold)]
+    a, b = (np.concatenate(x) if found else np.zeros(0, np.int64) for x in zip(*found)) if found else (np.zeros(0, np.int64),) * 2
+    label = least_connected(table.num_rows, a, b)
+    member = np.flatnonzero(label != np.arange(len(label)))
+    return label[member], member
 
 
 def _block_pairs(groups: DataFrame, sets: DataFrame) -> DataFrame:
@@ -214,17 +248,17 @@ def similar_documents(docs: DataFrame, threshold: float = THRESHOLD, width: int
     runs; both its sets are in large nodes then, so only sets of large nodes take the further runs.
     A large node that hardly differs from its parent is a bucket too: splitting doesn't part
     what shares most of its grams. In a bucket, sketches tell which sets may have a similar one there; all
-    pairs of those are compared exactly, in pairs of blocks of ``BLOCK`` sets, which give edges
-    enough to connect them. At last each class counts its links exactly, in pairs of blocks
-    as well. Pairs are never rows.
+    pairs of those are compared exactly, which gives edges enough to connect them. At last each class counts its
+    links exactly. A group of more than ``BLOCK`` sets is compared by pairs of blocks, and a task
+    goes through its blocks in tiles. Pairs are never rows.
 
     A text without words is linked to nothing and is a class of its own. Rows repeated with
     identifier and text have equal answers, so all are kept or none. Null identifiers come
     last in the order.
     """
     missing = F.col("doc_id").isNull()
-    rows_in = docs.select(F.col(id_column).cast("long").alias("doc_id"), *_row_keys(id_column, text_column),
-                          _plain(F.coalesce(F.col(text_column), F.lit(""))).alias("text"))
+    rows_in = docs.select(quoted(id_column).cast("long").alias("doc_id"), *_row_keys(id_column, text_column),
+                          _plain(F.coalesce(quoted(text_column), F.lit(""))).alias("text"))
     roots = [mix_one(0xC0FFEE + r) for r in range(runs_for(recall))]
     further = np.array([mix_one(0xC0FFEE + r) for r in range(len(roots), runs_for(recall, LEVELS))], np.uint64)
 
@@ -250,7 +284,7 @@ def similar_documents(docs: DataFrame, threshold: float = THRESHOLD, width: int
     sketches = sets.select("set_key", "sketch")
 
     def sift(table: pa.Table) -> pa.Table:
-        return table.filter(pa.array(_maybe(table, threshold).any(axis=1))).select(["node", "set_key"])
+        return table.filter(pa.array(_maybe(table, threshold))).select(["node", "set_key"])
 
     def sifted(groups: DataFrame) -> DataFrame:
         return stage(_block_pairs(groups, sketches).applyInArrow(sift, groups.select("node", "set_key").schema).distinct(), "sifted")
@@ -306,7 +340,7 @@ def similar_documents(docs: DataFrame, threshold: float = THRESHOLD, width: int
     compared = compared.union(sifted(whole.join(_stats(whole), "node")))
 
     def connect(table: pa.Table) -> pa.Table:
-        a, b = _forest(_linked(table, threshold))
+        a, b = _forest(table, threshold)
         keys = table.column("set_key")
         return pa.table({"a": keys.take(pa.array(a, pa.int64())), "b": keys.take(pa.array(b, pa.int64()))})
 
@@ -315,7 +349,12 @@ def similar_documents(docs: DataFrame, threshold: float = THRESHOLD, width: int
     copies = sets.select("set_key", "copies", "first")
 
     def count(table: pa.Table) -> pa.Table:
-        links = _linked(table, threshold) @ table.column("copies").to_numpy()
+        copies = table.column("copies").to_numpy().astype(float)
+        links = np.zeros(len(copies))
+        for a, b, near in _linked(table, threshold):
+            links[a] += near @ copies[b]
+            if a is not b:
+                links[b] += near.T @ copies[a]
         return pa.table({"set_key": table.column("set_key"), "links": pa.array(links.astype(np.int64))})
 
     counted = _block_pairs(classes, grams_of.join(copies.drop("first"), "set_key")).applyInArrow(
@@ -336,8 +375,8 @@ def similar_documents(docs: DataFrame, threshold: float = THRESHOLD, width: int
 def one_of_each(docs: DataFrame, threshold: float = THRESHOLD, width: int = WIDTH, recall: float = RECALL,
                 id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
     """The rows of the input without all but one document of each class, and without repeated rows."""
-    kept = similar_documents(docs, threshold, width, recall, id_column, text_column).filter("kept").select(
-        F.col("k1").alias("__k1"), F.col("k2").alias("__k2"))
+    kept = similar_documents(docs, threshold, width, recall, id_column, text_column).filter("kept").select("k1", "k2")
     k1, k2 = _row_keys(id_column, text_column)
-    keyed = docs.withColumns({"__k1": k1, "__k2": k2})
-    return keyed.join(kept, ["__k1", "__k2"], "left_semi").dropDuplicates(["__k1", "__k2"]).drop("__k1", "__k2")
+    keyed = docs.select(F.struct(*map(quoted, docs.columns)).alias("row"), k1.alias("k1"), k2.alias("k2"))
+    return keyed.join(kept, ["k1", "k2"], "left_semi").dropDuplicates(["k1", "k2"]).select(
+        *[F.col("row").getField(c).alias(c) for c in docs.columns])

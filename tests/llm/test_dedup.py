@@ -172,7 +172,8 @@ def test_similar_documents_match_brute_force(messy):
 
 def test_similar_documents_split_large_buckets_and_blocks(shipped, monkeypatch):
     monkeypatch.setattr(ngram_join, "SMALL_BUCKET", 3)
-    monkeypatch.setattr(ngram_join, "BLOCK", 4)
+    monkeypatch.setattr(ngram_join, "BLOCK", 8)
+    monkeypatch.setattr(ngram_join, "TILE", 3)
     base = [f"w{k}" for k in range(80)]
     rows = []
     for k in range(18):
@@ -206,5 +207,12 @@ def test_one_of_each(messy, nothing):
     assert ngram_join.similar_documents(nothing).collect() == []
 
 
+def test_one_of_each_takes_any_column_names(shipped):
+    names = ["doc_id", "text", "__k1", "__k2", "k1", "k2", "row", "a b.c"]
+    rows = [(k, prose(k // 2, 30), *range(6)) for k in range(6)]
+    got = ngram_join.one_of_each(shipped.createDataFrame(rows, names))
+    assert got.columns == names and sorted(r["doc_id"] for r in got.collect()) == [0, 2, 4]
+
+
 def test_runs_for():
     assert ngram_join.runs_for(0.99) > ngram_join.runs_for(0.9) >= 1

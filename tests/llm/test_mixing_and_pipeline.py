@@ -81,15 +81,16 @@ def test_mixed_documents(messy, nothing):
 
 
 def test_every_operator_is_registered():
-    assert sorted(int(k[2:].split("_")[0]) for k in QUERIES) == list(range(1, 11))
-    assert {k.split("_")[0] for k in SQL} == {"op2", "op3", "op5"}
+    assert sorted(int(k[2:].split("_")[0]) for k in QUERIES) == list(range(1, 14))
+    assert {k.split("_")[0] for k in SQL} == {"op2", "op3", "op5", "op11"}
     assert [n for n, _ in corpus_pipeline.STAGES] == ["language_id", "line_dedup", "ngram_join", "source_mix", "best_fit_packing"]
 
 
 def test_pipeline_stages_against_brute_force(shipped, messy):
     rows = [(500 + k, prose(300 + k, 60), "en", "a", 1) for k in range(30)]
-    docs = messy.select("doc_id", "text", "lang", "source", "n_chars").filter("doc_id is not null").unionByName(
-        shipped.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long"))
+    docs = messy.unionByName(shipped.createDataFrame(
+        rows, "doc_id long, text string, lang string, source string, n_chars long"), allowMissingColumns=True)
+    docs = docs.selectExpr("*", "1 AS `__id`", "2 AS dropped", "3 AS `__k1`", "4 AS k2", "5 AS gone", "6 AS id", "7 AS copy")
     folder = "unused"
     columns = docs.columns
     docs = stage(docs, "raw")
