@@ -1,4 +1,9 @@
-"""From raw documents to packed training sequences, in five stages."""
+"""From raw documents to packed training sequences, in five stages.
+
+Every stage takes rows with any columns, of any names, next to ``doc_id``, ``text`` and ``source``, and all but the
+last return the same columns. Any value may be null, rows may repeat and identifiers be equal; what becomes of them is
+said at each stage. An empty table gives an empty result everywhere. Texts are used whole, however long.
+"""
 
 from __future__ import annotations
 
@@ -17,14 +22,22 @@ def _sized(docs: DataFrame) -> DataFrame:
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents in a language of the corpus; what fits several languages alike or has no letter goes."""
+    """Documents in a language of the corpus; what fits several languages alike or has no letter goes.
+
+    A null or empty text has no letter. Equal rows are judged alike, so all of them stay or go. The languages are those
+    of the rows with a ``lang``; if no row has one, every document goes.
+    """
     ship(spark)
     model = language_id.learn(docs)
     return language_id.identify(docs, model).filter("accepted").select(*map(quoted, docs.columns))
 
 
 def drop_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without lines of recurring templates; one of such lines alone goes."""
+    """Documents without lines of recurring templates; one of such lines alone goes.
+
+    The first document of a template (smallest identifier, null last) keeps its line. Rows with equal identifier and text
+    count as one document and lose the same lines. A text that was null or blank before loses none and stays as it is.
+    """
     number = "dropped"
     while number in docs.columns:
         number += "_"
@@ -34,18 +47,29 @@ def drop_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each class of similar ones."""
+    """One document of each class of similar ones.
+
+    The smallest identifier of a class stays, null last; repeated rows become one. Texts without words, null ones
+    included, are similar to nothing, so each different row of them stays.
+    """
     ship(spark)
     return ngram_join.one_of_each(docs).select(*map(quoted, docs.columns))
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents as often as the mix of sources takes them."""
+    """Documents as often as the mix of sources takes them.
+
+    A null source is a source, last in the order. Documents without words, null texts included, add nothing to a
+    budget and are not taken. A document taken in part has the taken words of its text.
+    """
     return _sized(mixing.mixed_documents(docs))
 
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pieces of the documents and their places in sequences of 2048 ids."""
+    """Pieces of the documents and their places in sequences of 2048 ids.
+
+    A null text is empty: one piece with the end id. Each repeated row has pieces of its own, a null identifier stays null.
+    """
     ship(spark)
     import public_tokenizers
 
