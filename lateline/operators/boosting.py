@@ -24,6 +24,8 @@ from lateline.session import kept, stage
 from lateline.shipping import ship
 
 BLOCK_ROWS, MAX_BINS = 8_192, 255
+#: Rows whose quantiles are the bins of values that are many, at most about so many.
+SAMPLED_ROWS = 100_000
 #: Histogram cells that one pass counts, and trees after which the margins are written.
 PASS_CELLS, WRITTEN_EVERY = 2_000_000, 25
 _BLOCK = "block long, rows int, held boolean, codes binary, label binary, weight binary, margin binary"
@@ -192,17 +194,28 @@ def _finished(nodes: list[Node], chosen: set[int], cuts: list[list[float]], sett
     return tree
 
 
-def bin_cuts(rows: DataFrame, width: int, max_bins: int = MAX_BINS) -> list[list[float]]:
-    """Upper edges of the bins of each value of ``x``: its values if they are few, quantiles of a sketch otherwise."""
+def bin_cuts(rows: DataFrame, width: int, max_bins: int = MAX_BINS, number: int | None = None) -> list[list[float]]:
+    """Upper edges of the bins of each value of ``x``: all its values if they are few, else quantiles.
+
+    Few values are told and gathered over all rows. Quantiles are those of a sample of about ``SAMPLED_ROWS``
+    rows, all rows if there are no more.
+    """
     few = rows.agg(*[F.approx_count_distinct(F.col("x")[k], 0.02).alias(f"n{k}") for k in range(width)]).first()
     exact = [k for k in range(width) if few[f"n{k}"] <= 0.8 * max_bins]
-    shares = F.array(*[F.lit((i + 1) / max_bins) for i in range(max_bins - 1)])
-    found = rows.agg(*[(F.sort_array(F.collect_set(F.col("x")[k])) if k in exact else F.percentile_approx(
-        F.col("x")[k], shares, 10_000)).alias(f"c{k}") for k in range(width)]).first()
-    out = []
-    for k in range(width):
-        values = sorted(set(found[f"c{k}"] or []))
-        out.append(values[:-1] if k in exact else values)
+    out: list[list[float]] = [[] for _ in range(width)]
+    if exact:
+        found = rows.agg(*[F.collect_set(F.col("x")[k]).alias(f"c{k}") for k in exact]).first()
+        for k in exact:
+            out[k] = sorted(found[f"c{k}"])[:-1]
+    rest = [k for k in range(width) if k not in exact]
+    if rest:
+        share = SAMPLED_ROWS / max(rows.count() if number is None else number, 1)
+        drawn = rows if share >= 1 else rows.sample(share, seed=42)
+        values = drawn.select(F.array(*[F.col("x")[k] for k in rest]).alias("x")).toArrow().column("x").combine_chunks()
+        matrix = np.sort(values.flatten().to_numpy(zero_copy_only=False).reshape(-1, len(rest)), axis=0)
+        at = np.maximum(np.ceil(np.arange(1, max_bins) * len(matrix) / max_bins).astype(int) - 1, 0)
+        for j, k in enumerate(rest):
+            out[k] = np.unique(matrix[at, j]).tolist() if len(matrix) else []
     return out
 
 
@@ -506,7 +519,7 @@ def fit_boosting(rows: DataFrame, params: Mapping, features: str = "features", l
         return BoostedModel.of([], start, width, [], settings, features)
     start = math.log(share / (1 - share))
     scale = 2.0 ** math.floor(52 - math.log2(max(facts["n"], facts["held"]) * max(facts["top"], 1.0) * 40))
-    cuts = bin_cuts(table.filter(train), width, settings.max_bins)
+    cuts = bin_cuts(table.filter(train), width, settings.max_bins, facts["n"])
     fit = _Fit()
     with kept(_blocks(table, cuts, start)) as blocks:
         grower = _Grower(blocks, cuts, settings, scale)

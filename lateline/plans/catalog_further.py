@@ -5,12 +5,14 @@ from __future__ import annotations
 from functools import reduce
 
 from pyspark.ml.functions import array_to_vector
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from lateline.functions.expressions import quoted, round_half_even
 from lateline.operators import boosting, metrics, selection, supply, training
+from lateline.operators.risk import with_risk
 from lateline.plans import catalog_models as models
+from lateline.plans import jobs
 from lateline.plans.catalog import cleaned, featured, query
 from lateline.plans.catalog_data import _folder
 from lateline.plans.catalog_features import RANKED, _each
@@ -272,3 +274,50 @@ def _(spark, folder):
     trainer, rows = models._ensembles(spark, folder), models._rows(spark, folder, "test")
     fitted = [trainer.train_stacking(cv=2, cv_folds=0), trainer.train_voting(cv_folds=0), trainer.train_long_boosting(cv_folds=0)]
     return reduce(DataFrame.unionByName, [_invariants(m.name, m.score(rows, [], TARGET)) for m in fitted])
+
+
+@query("s07_sample_invariants", over("ship", """SELECT least(count(*), 1000) AS "rows", least(count(*), 1000) AS from_table, true AS repeats_agree FROM ship"""))
+def _(spark, folder):
+    """A sample has the asked size, its rows are rows of the table, and drawing again gives the same."""
+    lines = shipments(spark, folder).select(ORDER_ID, "Order Item Id", quoted(SALES))
+    sample, again = csv.random_sample(lines, 1000), csv.random_sample(lines, 1000)
+    there = sample.join(lines.distinct(), lines.columns, "left_semi")
+    same = sample.exceptAll(again).isEmpty()
+    return sample.agg(F.count(F.lit(1)).alias("rows")).select("rows", F.lit(there.count()).alias("from_table"), F.lit(same).alias("repeats_agree"))
+
+
+@query("a08_importance_invariants", """SELECT m AS model, true AS adds_up, true AS ranks_follow, true AS same_after_loading
+FROM (VALUES ('random_forest'), ('xgboost'), ('logistic_regression')) v(m)""")
+def _(spark, folder):
+    """Importances of trees add up to 1, ranks are 1 to n by falling importance, and a stored copy of a model has the same."""
+    paths, parts = models.project(spark, folder), []
+    for name in ("random_forest", "xgboost", "logistic_regression"):
+        model = training.TrainedModel.load(spark, paths.model(name))
+        copy = _folder(spark, "copy")
+        model.save(spark, copy)
+        rows = model.importance(spark)
+        again = training.TrainedModel.load(spark, copy).importance(spark)
+        best = F.row_number().over(Window.partitionBy(F.lit(0)).orderBy(F.desc("importance"), "feature"))  # one row a feature
+        total = F.abs(F.sum("importance") - 1) < 1e-9 if name != "logistic_regression" else F.sum("importance") > 0
+        parts.append(rows.withColumn("best", best).agg(
+            F.lit(name).alias("model"), total.alias("adds_up"), F.bool_and(F.col("best") == F.col("rank")).alias("ranks_follow"),
+            F.lit(rows.exceptAll(again).isEmpty()).alias("same_after_loading")))
+    return reduce(DataFrame.unionByName, parts)
+
+
+@query("r02_r08_scoring_invariants", over("clean", """SELECT 'splits' AS scored, count(*) AS "rows", true AS probabilities_fit, true AS classes_follow, true AS bands_follow FROM clean
+UNION ALL SELECT 'batch', count(*), true, true, true FROM clean"""))
+def _(spark, folder):
+    """Scores of the stored splits and of a new batch: every row once, classes and bands by the rules of the probability."""
+    paths = models.project(spark, folder)
+    splits = with_risk(training.TrainedModel.load(spark, paths.model("xgboost")).score(jobs.read_splits(spark, paths.splits)))
+    batch = jobs.run_predict(spark, raw_shipments(spark, folder), paths, "random_forest")
+    parts = []
+    for name, scored in (("splits", splits), ("batch", batch)):
+        p, band = F.col("delay_risk_probability"), F.col("delay_risk_category")
+        rule = F.when(p < 0.3, "Low").when(p < 0.6, "Medium").otherwise("High")
+        parts.append(scored.agg(
+            F.lit(name).alias("scored"), F.count(F.lit(1)).alias("rows"), F.bool_and((p >= 0) & (p <= 1)).alias("probabilities_fit"),
+            F.bool_and((p > 0.5) == (F.col("delay_risk_prediction") == 1)).alias("classes_follow"),
+            F.bool_and(F.lower(band).contains(F.lower(rule))).alias("bands_follow")))
+    return reduce(DataFrame.unionByName, parts)
