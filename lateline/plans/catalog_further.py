@@ -264,15 +264,15 @@ true AS accuracy_follows, true AS probabilities_fit, true AS classes_follow FROM
 
 @query("m02_m04_model_invariants", _invariants_sql(["logistic_regression", "random_forest", "xgboost"]))
 def _(spark, folder):
-    parts = [_invariants(n, models._trainer(spark, folder).train(n).score(models._rows(spark, folder, "test"), [], TARGET))
+    parts = [_invariants(n, models.fitted(spark, folder, n).score(models._rows(spark, folder, "test"), [], TARGET))
              for n in ("logistic_regression", "random_forest", "xgboost")]
     return reduce(DataFrame.unionByName, parts)
 
 
 @query("m09_m11_ensemble_invariants", _invariants_sql(["stacking", "voting (soft)", "long boosting"]))
 def _(spark, folder):
-    trainer, rows = models._ensembles(spark, folder), models._rows(spark, folder, "test")
-    fitted = [trainer.train_stacking(cv=2, cv_folds=0), trainer.train_voting(cv_folds=0), trainer.train_long_boosting(cv_folds=0)]
+    rows = models._rows(spark, folder, "test")
+    fitted = [models.combined(spark, folder, kind) for kind in ("stacking", "voting", "long")]
     return reduce(DataFrame.unionByName, [_invariants(m.name, m.score(rows, [], TARGET)) for m in fitted])
 
 

@@ -72,9 +72,14 @@ def _(spark, folder):
     return table.withColumns({c: round_half_even(F.col(c), 6) for c in ("mean", "std")})
 
 
+def fitted(spark, folder, name):
+    """A model on its own, trained once."""
+    return derived(spark, folder, f"model {name}", lambda: _trainer(spark, folder).train(name))
+
+
 def _single(name):
     def build(spark, folder):
-        return _measured(_trainer(spark, folder).train(name), _rows(spark, folder, "test"))
+        return _measured(fitted(spark, folder, name), _rows(spark, folder, "test"))
     return build
 
 
@@ -101,6 +106,13 @@ def _ensembles(spark, folder):
                                      _rows(spark, folder, "validation"), params=SMALL_BASES)
 
 
+def combined(spark, folder, kind):
+    """An ensemble, trained once."""
+    train = {"stacking": lambda e: e.train_stacking(cv=2, cv_folds=0), "voting": lambda e: e.train_voting(cv_folds=0),
+             "long": lambda e: e.train_long_boosting(cv_folds=0)}[kind]
+    return derived(spark, folder, f"ensemble {kind}", lambda: train(_ensembles(spark, folder)))
+
+
 @query("m08_base_estimators")
 def _(spark, folder):
     """Test metrics of each base classifier on its own."""
@@ -116,12 +128,12 @@ def _(spark, folder):
 
 @query("m09_stacking")
 def _(spark, folder):
-    return _measured(_ensembles(spark, folder).train_stacking(cv=2, cv_folds=0), _rows(spark, folder, "test"))
+    return _measured(combined(spark, folder, "stacking"), _rows(spark, folder, "test"))
 
 
 @query("m10_soft_voting")
 def _(spark, folder):
-    return _measured(_ensembles(spark, folder).train_voting(cv_folds=0), _rows(spark, folder, "test"))
+    return _measured(combined(spark, folder, "voting"), _rows(spark, folder, "test"))
 
 
 @query("m10_hard_voting")
@@ -132,7 +144,7 @@ def _(spark, folder):
 
 @query("m11_long_boosting")
 def _(spark, folder):
-    return _measured(_ensembles(spark, folder).train_long_boosting(cv_folds=0), _rows(spark, folder, "test"))
+    return _measured(combined(spark, folder, "long"), _rows(spark, folder, "test"))
 
 
 @query("m12_cross_validation")
