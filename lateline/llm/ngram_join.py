@@ -26,7 +26,7 @@ BLOCK, TILE = 4_096, 1_024
 #: many standard deviations of the estimate lie between them and the threshold.
 SKETCH, DEVIATIONS = 128, 5.0
 _TURNS = mix(np.arange(2 * SKETCH, dtype=np.uint64)) | np.uint64(1)
-_COLUMNS_AT_ONCE = 8_192
+_COLUMNS_AT_ONCE, _CELLS_AT_ONCE = 8_192, 200_000
 
 
 def _plain(text: Column) -> Column:
@@ -70,23 +70,31 @@ def _children(grams: np.ndarray, edges: np.ndarray, parents: np.ndarray, thresho
     return mix(hashes[chosen]), row[chosen]
 
 
+def _chosen(grams: np.ndarray, nodes: np.ndarray, threshold: float) -> tuple[np.ndarray, np.ndarray]:
+    """The nodes that one set goes to from each of some nodes, and the places of these; as ``_children`` chooses."""
+    bound = np.uint64(min(2.0 ** 64 / (threshold * max(len(grams), 1)), 2.0 ** 64 - 2048))
+    found, places = [], []
+    at_once = max(1, _CELLS_AT_ONCE // max(len(grams), 1))
+    for begin in range(0, len(nodes), at_once):
+        hashes = mix(nodes[begin:begin + at_once, None] ^ grams[None, :])
+        place, gram = np.nonzero(hashes <= bound)
+        found.append(mix(hashes[place, gram]))
+        places.append(place + begin)
+    if not found:
+        return np.zeros(0, np.uint64), np.zeros(0, np.int64)
+    return np.concatenate(found), np.concatenate(places)
+
+
 def _below(grams: np.ndarray, nodes: np.ndarray, roots: np.ndarray, threshold: float) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Level, parent and node of all nodes that one set goes to below some roots and some nodes of the first level."""
     levels, parents, children = [], [], []
-    edges = np.array([0, len(grams)])
     first, nodes = nodes, roots
     for level in range(1, LEVELS + 1):
-        found, parent = [], []
-        for node in nodes:
-            below, _ = _children(grams, edges, np.array([node]), threshold)
-            found.append(below)
-            parent.append(np.full(len(below), node))
-        nodes = np.concatenate(found) if found else nodes
-        levels.append(np.full(len(nodes), level, np.int32))
-        parents.append(np.concatenate(parent) if parent else nodes)
-        children.append(nodes)
-        if level == 1:
-            nodes = np.concatenate([nodes, first])
+        below, place = _chosen(grams, nodes, threshold)
+        levels.append(np.full(len(below), level, np.int32))
+        parents.append(nodes[place])
+        children.append(below)
+        nodes = np.concatenate([below, first]) if level == 1 else below
     return np.concatenate(levels), as_long(np.concatenate(parents)), as_long(np.concatenate(children))
 
 
