@@ -187,6 +187,32 @@ def test_bins_of_few_values_are_the_values(spark):
     assert all(abs(c - 2000 * (k + 1) / 32) < 5 for k, c in enumerate(cuts[1]))
 
 
+def test_few_values_take_one_pass(spark):
+    seen = spark.sparkContext.accumulator(0)
+
+    def count(batches):
+        for batch in batches:
+            seen.add(batch.num_rows)
+            yield batch
+
+    rows = spark.range(0, 300, 1, 3).select(F.array(F.col("id") % 5 / 1.0, F.when(F.col("id") < 9, -0.0).otherwise(F.col("id") % 2 / 1.0)).alias("x"))
+    assert boosting.bin_cuts(rows.mapInArrow(count, "x array<double>"), 2, 32) == [[0.0, 1.0, 2.0, 3.0], [0.0]]
+    assert seen.value == 300
+    # Few in each part, many in all.
+    spread = spark.range(0, 90, 1, 9).select(F.array(F.col("id") / 1.0).alias("x"))
+    assert len(boosting.bin_cuts(spread, 1, 32)[0]) == 31
+
+
+def test_large_parts_are_dealt_out(spark, monkeypatch):
+    monkeypatch.setattr(training, "PART_ROWS", 50)
+    rows = spark.range(0, 900, 1, 2).select((F.col("id") % 300).alias("id"))
+    parts = training.dealt(rows).groupBy(F.spark_partition_id()).agg(F.count(F.lit(1)).alias("n")).collect()
+    assert len(parts) == 18 and max(r["n"] for r in parts) < 100
+    assert training.dealt(rows).columns == ["id"] and training.dealt(rows).exceptAll(rows).isEmpty()
+    small = spark.range(0, 90, 1, 2)
+    assert training.dealt(small) is small and training.dealt(rows.filter("id < 0")).isEmpty()
+
+
 def test_folds_have_equal_shares_of_each_label(spark):
     rows = [(1.0 if k % 3 == 0 else 0.0, 5) for k in range(100)] + [(None, 5)] * 7
     data = spark.createDataFrame(rows, "label double, same int").repartition(6)
