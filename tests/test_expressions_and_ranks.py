@@ -23,6 +23,18 @@ def test_strip_removes_all_white_space(spark):
     assert one(spark, x.strip(F.col("t")), t="\t Same Day \n") == "Same Day"
 
 
+def test_titles_of_plain_letters_and_trims_need_no_pattern_a_row(spark):
+    texts = [None, "", " ", " FIRST  class ", "x\n", "x \u2028", "\x0bx\x1c", "dON't stop", "B_c", "ǆabc", "İz", "a1b", "x\x00y z", "\u00a0ab"]
+    table = spark.createDataFrame([(t,) for t in texts], "t string")
+    words = F.split(F.lower("t"), r"(?<=[^\p{L}])(?=\p{L})")
+    by_word = F.array_join(F.transform(words, lambda w: F.concat(F.upper(F.left(w, F.lit(1))), F.substr(w, F.lit(2)))), "")
+    found = table.select("t", x.strip(F.col("t")).alias("s"), F.regexp_replace("t", r"^\s+|\s+$", "").alias("ps"),
+                         x.title(F.col("t")).alias("w"), by_word.alias("pw"))
+    assert all(r["s"] == r["ps"] and r["w"] == r["pw"] for r in found.collect())
+    plan = found.select("s", "w")._jdf.queryExecution().optimizedPlan().toString()
+    assert "initcap" in plan.lower() and "trim" in plan.lower()
+
+
 @pytest.mark.parametrize("value,label", [(-0.01, None), (0.0, "none"), (0.1, "low"), (0.2, "medium"), (0.21, "high"),
                                          (1.0, "high"), (1.01, None)])
 def test_bins_are_right_closed(spark, value, label):
