@@ -44,7 +44,7 @@ class Encoder:
             return self._plainly(t)
         starts, lengths, row_edges = _units(t)
         hashes, checks = span_hashes(t, starts, lengths), span_hashes(t, starts, lengths, 1)
-        unique, first, inverse = np.unique(hashes, return_index=True, return_inverse=True)
+        unique, first, inverse = _distinct(hashes)
         at = np.minimum(np.searchsorted(self._hash, unique), max(len(self._hash) - 1, 0))
         known = self._hash[at] == unique if len(self._hash) else np.zeros(len(unique), bool)
         if not known.all():
@@ -136,12 +136,28 @@ def _units(t: Texts) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     data = t.data[:t.size]
     blank = np.flatnonzero((data == 0x20) | (data == 0x0A))
     blank = blank[blank > 0]
-    rows = np.unique(t.edges[:-1][np.diff(t.edges) > 0])
-    starts = np.union1d(blank[_solid(t.data, blank - 1)], rows)
+    begins = np.zeros(t.size, bool)
+    begins[blank[_solid(t.data, blank - 1)]] = True
+    begins[t.edges[:-1][np.diff(t.edges) > 0]] = True
+    starts = np.flatnonzero(begins)
     lengths = np.diff(starts, append=t.size)
     return starts, lengths, np.searchsorted(starts, t.edges)
 
 
+def _distinct(values: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Different values in order, a place of each, and the number of each value's among them.
+
+    Which of the equal places is open, so the sort need not be stable as in ``np.unique``, which takes most of an encoding.
+    """
+    order = np.argsort(values)
+    ranked = values[order]
+    new = np.ones(len(values), bool)
+    np.not_equal(ranked[1:], ranked[:-1], out=new[1:])
+    inverse = np.empty(len(values), np.int64)
+    inverse[order] = np.cumsum(new) - 1
+    return ranked[new], order[new], inverse
+
+
 _encoders: dict[str, Encoder] = {}
 
 

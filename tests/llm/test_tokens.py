@@ -149,3 +149,20 @@ def test_plan_prefers_exact_complements():
     counts[1] = 2
     full = [k for k, t in packing.plan(counts, 10) for _ in range(t) if sum(k) == 10]
     assert full.count((7, 3)) == 4
+
+
+def test_encoding_needs_no_slow_set_operations(plain, monkeypatch):
+    """Hashed sets of numpy took more of an encoding than any step but the tokenizer's."""
+    def slow(*_, **__):
+        raise AssertionError("a set operation of numpy")
+
+    rows = ["one two  two\none", "", None, "two one é à\n\nx", " one"]
+    encode = tokenise.Encoder(PATH)
+    monkeypatch.setattr(np, "unique", slow)
+    monkeypatch.setattr(np, "union1d", slow)
+    ids, edges = encode(texts(pa.array(rows, pa.string())))
+    assert [ids[a:b].tolist() for a, b in zip(edges, edges[1:])] == [plain(t) for t in rows]
+    unique, first, inverse = tokenise._distinct(np.array([5, 3, 5, 9, 3], np.uint64))
+    assert unique.tolist() == [3, 5, 9] and inverse.tolist() == [1, 0, 1, 2, 0]
+    assert first[1] in (0, 2) and first[0] in (1, 4) and first[2] == 3
+    assert [len(x) for x in tokenise._distinct(np.zeros(0, np.uint64))] == [0, 0, 0]
