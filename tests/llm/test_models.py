@@ -130,6 +130,28 @@ def test_bigrams_are_added_up_before_they_meet(messy):
     assert "Window" not in plan and "Join" in plan
 
 
+def test_scores_of_many_chunks(messy, monkeypatch):
+    """The texts move once and their counts are arrays, so no bigram is a row of a shuffle."""
+    one = Counter((r.doc_id, r.words, r.seen, r.score) for r in lm_score.lm_scores(messy).collect())
+    monkeypatch.setattr(lm_score, "CHUNK_BYTES", 200)
+    scores = lm_score.lm_scores(messy)
+    rounded = lambda found: Counter((d, w, s, x and round(x, 9)) for (d, w, s, x) in found.elements())
+    assert rounded(Counter((r.doc_id, r.words, r.seen, r.score) for r in scores.collect())) == rounded(one)
+    plan = scores._jdf.queryExecution().optimizedPlan().toString()
+    assert "Generate" not in plan and plan.count("FlatMapGroupsInArrow") == 2
+
+
+def test_equal_keys_are_told_apart_by_their_marks():
+    keys, marks = np.array([7, 3, 7, 7, 3], np.uint64), np.array([2, 1, 1, 2, 1], np.uint8)
+    got = lm_score._added_up(keys, marks, np.array([1, 10, 100, 1000, 10000], np.int64))
+    assert [x.tolist() for x in got[:3]] == [[3, 7, 7], [1, 1, 2], [10010, 100, 1001]] and got[4].tolist() == [0, 2, 3]
+    totals = lm_score._everywhere(pa.table({
+        "chunk": pa.array([0, 1], pa.int32()), "part": pa.array([0, 0], pa.int32()),
+        "keys": pa.array([[3, 7], [7, 7]], pa.list_(pa.int64())), "marks": pa.array([[1, 2], [1, 2]], pa.list_(pa.int8())),
+        "counts": pa.array([[1, 2], [4, 8]], pa.list_(pa.int32()))}))
+    assert totals.column("everywhere").to_pylist() == [[1, 10], [4, 10]]
+
+
 def vector_rows():
     rng = np.random.default_rng(1)
     centres = rng.standard_normal((12, 16))
