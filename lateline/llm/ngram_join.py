@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lateline.functions.expressions import quoted
+from lateline.llm.collocations import _frequent_filter, _may_have
 from lateline.llm.components import components, least_connected
 from lateline.llm.spans import as_long, mix, mix_one, shingles, slices, span_hashes, texts, words
 from lateline.session import stage
@@ -85,17 +86,47 @@ def _chosen(grams: np.ndarray, nodes: np.ndarray, threshold: float) -> tuple[np.
     return np.concatenate(found), np.concatenate(places)
 
 
-def _below(grams: np.ndarray, nodes: np.ndarray, roots: np.ndarray, threshold: float) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Level, parent and node of all nodes that one set goes to below some roots and some nodes of the first level."""
-    levels, parents, children = [], [], []
-    first, nodes = nodes, roots
-    for level in range(1, LEVELS + 1):
-        below, place = _chosen(grams, nodes, threshold)
-        levels.append(np.full(len(below), level, np.int32))
-        parents.append(nodes[place])
-        children.append(below)
-        nodes = np.concatenate([below, first]) if level == 1 else below
-    return np.concatenate(levels), as_long(np.concatenate(parents)), as_long(np.concatenate(children))
+def _only(rows: DataFrame, key: Column, bits: np.ndarray) -> DataFrame:
+    """Rows whose ``key`` may be one of those that a filter was made of; it is of bounded size and lets some others through."""
+    @F.arrow_udf("boolean")
+    def may(keys: pa.Array) -> pa.Array:
+        return pa.array(_may_have(bits, keys.to_numpy(zero_copy_only=False).view(np.uint64)))
+
+    return rows.filter(may(key))
+
+
+def _below(sets: DataFrame, roots: np.ndarray, splits: list[pa.Table], threshold: float) -> DataFrame:
+    """Where sets go to (``set_key, node``) on the level below ``splits``, and the number of sets of the node ``before``.
+
+    ``splits`` (``node``, ``n``) has the nodes that were split, level by level behind the roots, to which the sets' own
+    nodes of the first level come. They have more than ``SMALL_BUCKET`` sets each and go to every task.
+    """
+    known = []
+    for split in splits:
+        order = np.argsort(split.column("node").to_numpy())
+        known.append((split.column("node").to_numpy()[order].view(np.uint64), split.column("n").to_numpy()[order]))
+
+    def descend(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found, sizes = [], []
+            for first, grams in zip(batch.column("nodes"), batch.column("grams")):
+                first, grams = (x.values.to_numpy().view(np.uint64) for x in (first, grams))
+                nodes, place = _chosen(grams, roots, threshold)
+                before = None
+                for level, (split, n) in enumerate(known):
+                    nodes = np.concatenate([nodes, first]) if level == 0 else nodes
+                    at = np.minimum(np.searchsorted(split, nodes), len(split) - 1)
+                    here = split[at] == nodes
+                    parents, before = nodes[here], n[at[here]]
+                    nodes, place = _chosen(grams, parents, threshold)
+                found.append(as_long(nodes))
+                sizes.append(np.zeros(0, np.int64) if before is None else before[place])
+            if found:
+                keys = batch.column("set_key").take(pa.array(np.repeat(np.arange(len(found)), [len(x) for x in found])))
+                before = pa.array(np.concatenate(sizes)) if known else pa.nulls(len(keys), pa.int64())
+                yield pa.RecordBatch.from_arrays([keys, pa.array(np.concatenate(found)), before], ["set_key", "node", "before"])
+
+    return sets.mapInArrow(descend, "set_key binary, node long, before long")
 
 
 def runs_for(recall: float, levels: int = 3) -> int:
@@ -149,11 +180,14 @@ def _tiles(table: pa.Table) -> Iterator[tuple[np.ndarray, np.ndarray]]:
             yield rows, others
 
 
-def _maybe(table: pa.Table, threshold: float) -> np.ndarray:
-    """Whether a set of a group may have a similar one there, by their sketches."""
+def _maybe(table: pa.Table, threshold: float) -> tuple[np.ndarray, np.ndarray]:
+    """Rows of a group that may have a similar one there, by their sketches, and what stands for all that they lead to.
+
+    That is the same for the same sets in any group, so what several groups find is compared once.
+    """
     sketch = np.frombuffer(b"".join(table.column("sketch").to_pylist()), np.uint8).reshape(-1, SKETCH)
     bound = SKETCH * (threshold - DEVIATIONS * math.sqrt(threshold * (1 - threshold) / SKETCH))
-    found = np.zeros(len(sketch), bool)
+    found = []
     for a, b in _tiles(table):
         same = np.zeros((len(a), len(b)), np.int16)
         for x, y in zip(np.ascontiguousarray(sketch[a].T), np.ascontiguousarray(sketch[b].T)):
@@ -161,9 +195,14 @@ def _maybe(table: pa.Table, threshold: float) -> np.ndarray:
         near = same >= bound
         if a is b:
             np.fill_diagonal(near, False)
-        found[a] |= near.any(axis=1)
-        found[b] |= near.any(axis=0)
-    return found
+        found.append(_edges(near, a, b))
+    a, b = (np.concatenate(x) for x in zip(*found)) if found else (np.zeros(0, np.int64),) * 2
+    label = least_connected(len(sketch), a, b)
+    low, high = np.frombuffer(b"".join(table.column("set_key").to_pylist()), np.uint64).reshape(-1, 2).T
+    sums = np.zeros(len(label), np.uint64)
+    np.add.at(sums, label, mix(low ^ mix(high)))
+    rows = np.unique(np.concatenate([a, b]))
+    return rows, as_long(mix(sums[label[rows]]))
 
 
 def _linked(table: pa.Table, threshold: float) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
@@ -234,9 +273,9 @@ def _block_pairs(groups: DataFrame, sets: DataFrame) -> DataFrame:
     """Deal the sets of each group (``node``, ``set_key``) out to pairs of blocks, with what ``sets`` has of them."""
     blocks = F.ceil(F.col("n") / BLOCK)
     sized = groups.select("node", "set_key").join(groups.groupBy("node").agg(F.count(F.lit(1)).alias("n")), "node")
-    dealt = sized.select("node", "set_key", F.pmod(F.xxhash64("set_key", F.lit(2)), blocks).alias("block"), F.explode(
+    dealt = sized.select("node", "set_key", (F.col("n") > BLOCK).alias("parted"), F.pmod(F.xxhash64("set_key", F.lit(2)), blocks).alias("block"), F.explode(
         F.sequence(F.lit(0).cast("long"), blocks - 1)).alias("other"))
-    return dealt.select("node", "set_key", "block", F.least("block", "other").alias("lo"),
+    return dealt.select("node", "set_key", "parted", "block", F.least("block", "other").alias("lo"),
                         F.greatest("block", "other").alias("hi")).join(sets, "set_key").groupBy("node", "lo", "hi")
 
 
@@ -255,9 +294,9 @@ def similar_documents(docs: DataFrame, threshold: float = THRESHOLD, width: int
     others are buckets. A pair that is found only on the last level needs ``runs_for(recall, LEVELS)``
     runs; both its sets are in large nodes then, so only sets of large nodes take the further runs.
     A large node that hardly differs from its parent is a bucket too: splitting doesn't part
-    what shares most of its grams. In a bucket, sketches tell which sets may have a similar one there; all
-    pairs of those are compared exactly, which gives edges enough to connect them. At last each class counts its
-    links exactly. A group of more than ``BLOCK`` sets is compared by pairs of blocks, and a task
+    what shares most of its grams. In a bucket, sketches tell which sets may have a similar one there; what
+    they connect is compared once, however many buckets find it: all pairs of it exactly, which gives edges
+    enough to connect them. At last each class counts its links exactly. A group of more than ``BLOCK`` sets is compared by pairs of blocks, and a task
     goes through its blocks in tiles. Pairs are never rows.
 
     A text without words is linked to nothing and is a class of its own. Rows repeated with
@@ -289,63 +328,62 @@ def similar_documents(docs: DataFrame, threshold: float = THRESHOLD, width: int
     sets = stage(rows.filter("set_key IS NOT NULL").groupBy("set_key").agg(
         F.count(F.lit(1)).alias("copies"), F.min(first).alias("first"), F.first("sketch").alias("sketch"),
         F.first("nodes").alias("nodes")), "different")
-    sketches = sets.select("set_key", "sketch")
 
     def sift(table: pa.Table) -> pa.Table:
-        return table.filter(pa.array(_maybe(table, threshold))).select(["node", "set_key"])
+        rows, together = _maybe(table, threshold)
+        node, key = table.column("node").take(pa.array(rows)), table.column("set_key").take(pa.array(rows))
+        # Pairs of blocks see parts of what is connected, so a parted group stays one.
+        return pa.table({"node": node if table.column("parted")[0].as_py() else pa.array(together), "set_key": key})
 
-    def sifted(groups: DataFrame) -> DataFrame:
-        return stage(_block_pairs(groups, sketches).applyInArrow(sift, groups.select("node", "set_key").schema).distinct(), "sifted")
+    def sifted(groups: DataFrame, sketches: DataFrame) -> DataFrame:
+        return stage(_block_pairs(groups, sketches).applyInArrow(sift, "node long, set_key binary").distinct(), "sifted")
 
     members = sets.select("set_key", F.explode("nodes").alias("node"))
     met = stage(members.join(_stats(members, SMALL_BUCKET + 1), "node"), "met")
     buckets, large = met.filter(F.col("n") <= SMALL_BUCKET), met.filter(F.col("n") > SMALL_BUCKET)
-    compared = sifted(buckets)
-    wanted = compared.select("set_key").union(large.select("set_key")).distinct().join(sets, "set_key").select(
-        "first.k1", "first.k2")
+    compared = sifted(buckets, sets.select("set_key", "sketch"))
+    nodes_of = large.groupBy("set_key").agg(F.collect_set("node").alias("nodes"))
+    wanted = stage(compared.select("set_key").union(large.select("set_key")).distinct().join(nodes_of, "set_key", "left").join(
+        sets.drop("nodes"), "set_key").select("set_key", "sketch", "first.k1", "first.k2", "nodes"), "wanted")
+    sketches = wanted.select("set_key", "sketch")
 
     def gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in slices(batch, "text"):
                 grams, edges = _sets(part, width)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(_set_keys(grams, edges), pa.binary()), _lists(as_long(grams), edges)], ["set_key", "grams"])
+                    [pa.array(_set_keys(grams, edges), pa.binary()), _lists(as_long(grams), edges), part.column("nodes")],
+                    ["set_key", "grams", "nodes"])
 
-    grams_of = stage(rows_in.select("k1", "k2", "text").join(wanted, ["k1", "k2"], "left_semi").dropDuplicates(
-        ["k1", "k2"]).select("text").mapInArrow(gather, "set_key binary, grams array<long>"), "grams")
+    keyed = docs.select(*_row_keys(id_column, text_column), F.coalesce(quoted(text_column), F.lit("")).alias("text"))
+    needed = _only(keyed, F.col("k1"), _frequent_filter(wanted.select(F.col("k1").alias("key")), wanted.count()))
+    gathered = stage(needed.select("k1", "k2", _plain(F.col("text")).alias("text")).join(
+        wanted.select("k1", "k2", "nodes"), ["k1", "k2"]).dropDuplicates(["k1", "k2"]).select("text", "nodes").mapInArrow(
+        gather, "set_key binary, grams array<long>, nodes array<long>"), "grams")
+    key = F.xxhash64("set_key")
 
-    def descend(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            trees = [_below(grams.values.to_numpy().view(np.uint64), nodes.values.to_numpy().view(np.uint64), further, threshold)
-                     for nodes, grams in zip(batch.column("nodes"), batch.column("grams"))]
-            if trees:
-                rows = np.repeat(np.arange(len(trees)), [len(t[0]) for t in trees])
-                yield pa.RecordBatch.from_arrays(
-                    [batch.column("set_key").take(pa.array(rows)), *(pa.array(np.concatenate(x)) for x in zip(*trees))],
-                    ["set_key", "level", "parent", "node"])
+    def grams_among(sets: DataFrame) -> DataFrame:
+        """Of the gathered grams those of some sets, and few others."""
+        return _only(gathered, key, _frequent_filter(sets.select(key.alias("key")), sets.count()))
 
-    nodes_of = large.groupBy("set_key").agg(F.collect_set("node").alias("nodes"))
-    tree = stage(nodes_of.join(grams_of, "set_key").mapInArrow(
-        descend, "set_key binary, level int, parent long, node long"), "tree")
-    whole = large.select("set_key", "node").limit(0)
+    whole, splits = large.select("set_key", "node").limit(0), []
     for level in range(1, LEVELS + 1):
         if large.isEmpty():
             break
-        at = tree.filter(F.col("level") == level)
-        if level == 1:
-            children = at.select("set_key", "node", F.lit(None).cast("long").alias("before"))
-        else:
-            split = large.select(F.col("node").alias("parent"), F.col("n").alias("before")).distinct()
-            children = at.join(split, "parent").select("set_key", "node", "before").distinct()
+        if level > 1:
+            splits.append(large.select("node", "n").distinct().toArrow())
+        sets_here = gathered if level < 3 else grams_among(large.select("set_key").distinct())
+        children = stage(_below(sets_here.filter("nodes IS NOT NULL"), further, splits, threshold), "below")
         below = stage(children.join(_stats(children, SMALL_BUCKET + 1), "node"), "met")
-        compared = compared.union(sifted(below.filter(F.col("n") <= SMALL_BUCKET)))
+        compared = compared.union(sifted(below.filter(F.col("n") <= SMALL_BUCKET), sketches))
         unshrunk = F.coalesce(F.col("n") >= UNSHRUNK * F.col("before"), F.lit(False))
         left = below.filter(F.col("n") > SMALL_BUCKET)
         whole = whole.union(left.filter(unshrunk).select("set_key", "node"))
         left = left.filter(~unshrunk).select("set_key", "node", "n")
         large = large.select("set_key", "node", "n").union(left) if level == 1 else left
     whole = whole.union(large.select("set_key", "node"))
-    compared = compared.union(sifted(whole.join(_stats(whole), "node")))
+    compared = stage(compared.union(sifted(whole.join(_stats(whole), "node"), sketches)).distinct(), "compared")
+    grams_of = grams_among(compared.select("set_key").distinct()).drop("nodes")
 
     def connect(table: pa.Table) -> pa.Table:
         a, b = _forest(table, threshold)

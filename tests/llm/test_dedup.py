@@ -10,6 +10,7 @@ import xxhash
 from pyspark.sql import functions as F
 
 from lateline.llm import exact_dedup, line_dedup, ngram_join
+from lateline.session import stage
 from tests.llm.conftest import messy_rows, prose
 
 
@@ -196,6 +197,45 @@ def test_similar_documents_find_large_classes_of_one_core(shipped):
         (i, i // 1_000 * 1_000, 299) for i, _ in rows)
 
 
+def test_similar_documents_move_only_what_is_compared(shipped, monkeypatch):
+    monkeypatch.setattr(ngram_join, "SMALL_BUCKET", 3)
+    tables = {}
+
+    def staged(df, label):
+        tables.setdefault(label, []).append(stage(df, label))
+        return tables[label][-1]
+
+    monkeypatch.setattr(ngram_join, "stage", staged)
+    near = [(k, " ".join(f"new{k}" if j == 4 * k else f"w{j}" for j in range(80))) for k in range(12)]
+    rows = near + [(100 + k, " ".join(f"own{k}x{j}" for j in range(80))) for k in range(200)]
+    got = Counter((r.doc_id, r.class_id, r.links) for r in ngram_join.similar_documents(
+        shipped.createDataFrame(rows, "doc_id long, text string")).collect())
+    assert got == brute_classes(rows)
+    # No set has all nodes below it written, and texts that meet no other are not gathered.
+    assert "tree" not in tables and 12 <= tables["grams"][0].count() < 40
+
+
+def test_similar_documents_compare_once_what_several_runs_find(shipped, monkeypatch):
+    tables = {}
+
+    def staged(df, label):
+        tables[label] = stage(df, label)
+        return tables[label]
+
+    monkeypatch.setattr(ngram_join, "stage", staged)
+    rows = [(2 * k + i, prose(k, 60) + f" end{i}") for k in range(30) for i in range(2)]
+    got = ngram_join.similar_documents(shipped.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert Counter((r.doc_id, r.class_id, r.links) for r in got) == Counter((i, i // 2 * 2, 1) for i, _ in rows)
+    assert tables["compared"].count() == 60
+
+
+def test_filter_lets_all_wanted_keys_through_and_few_others(shipped):
+    keys = shipped.range(4000).select(F.xxhash64("id").alias("key"), "id")
+    bits = ngram_join._frequent_filter(keys.filter("id < 300"), 300)
+    left = {r.id for r in ngram_join._only(keys, F.col("key"), bits).collect()}
+    assert set(range(300)) <= left and len(left) < 600
+
+
 def test_one_of_each(messy, nothing):
     kept = ngram_join.one_of_each(messy)
     assert kept.columns == messy.columns
