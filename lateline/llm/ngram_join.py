@@ -103,8 +103,9 @@ def _below(sets: DataFrame, roots: np.ndarray, splits: list[pa.Table], threshold
     """
     known = []
     for split in splits:
-        order = np.argsort(split.column("node").to_numpy())
-        known.append((split.column("node").to_numpy()[order].view(np.uint64), split.column("n").to_numpy()[order]))
+        nodes = split.column("node").to_numpy().view(np.uint64)
+        order = np.argsort(nodes)
+        known.append((nodes[order], split.column("n").to_numpy()[order]))
 
     def descend(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
