@@ -7,10 +7,11 @@ import re
 
 import pytest
 
+from lateline import session
 from lateline.operators.cleaning import distinct_rows, drop_unused
 from lateline.plans import catalog
 from lateline.plans.shipments import raw_shipments
-from lateline.session import job, shared_folder, stage
+from lateline.session import job, stage
 
 TABLES = {
     "region": "SELECT 1 AS r_regionkey, 'ASIA' AS r_name",
@@ -46,10 +47,11 @@ def test_copies_are_found_without_a_shuffle_of_whole_rows(spark, tables):
     assert rows.count() == 60 and rows.agg({"_copies": "sum"}).first()[0] == 90
 
 
-def test_rows_written_on_the_way_to_the_cleaned_table_are_deleted(spark, tables):
-    before = set(os.listdir(shared_folder(spark)))
+def test_rows_written_on_the_way_to_the_cleaned_table_are_deleted(spark, tables, tmp_path, monkeypatch):
+    monkeypatch.setattr(session, "shared_folder", lambda spark: str(tmp_path))
+    monkeypatch.setattr(catalog, "_derived", {})
     assert catalog.cleaned(spark, tables).count() == 60
-    assert {n.split("-")[0] for n in set(os.listdir(shared_folder(spark))) - before} == {"cleaned"}
+    assert [n.split("-")[0] for n in os.listdir(tmp_path)] == ["cleaned"]
 
 
 def test_lasting_tables_stay_until_the_next_job_ends(spark):
